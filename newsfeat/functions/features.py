@@ -59,9 +59,14 @@ def shorten(c: Column, n: int = 1000) -> Column:
     return F.when(F.length(c) <= n, c).otherwise(F.concat(F.substring(c, 1, n), F.lit("...")))
 
 
-def hour_of(c: Column) -> Column:
-    """Hour of Unix seconds held as text, in the session time zone."""
-    return F.hour(F.timestamp_seconds(c.cast("bigint")))
+def hour_of(c: Column, zone: str | None = None) -> Column:
+    """Hour of Unix seconds held as text, in the session time zone or a named one."""
+    seconds = c.cast("bigint")
+    if zone is None:
+        return F.hour(F.timestamp_seconds(seconds))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    utc = epoch + F.make_dt_interval(F.floor(seconds / 86400), secs=F.pmod(seconds, F.lit(86400)))
+    return F.hour(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc))
 
 
 def binary_labels(df: DataFrame, significance: str = "significance") -> DataFrame:
