@@ -121,10 +121,13 @@ def s3(spark, sf):
     return R.accepted(R.parse_json(texts.select("json")))
 
 
-@query("s3_json_files", JSON_SQL)
+@query("s3_json_files", JSON_SQL + " WHERE guid IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)")
 def s3_files(spark, sf):
+    """The labelled articles as files of one object each, read as a folder."""
     path = scratch_path(spark, "json")
-    json_of(articles(spark, sf)).select("json").write.text(path)
+    ids = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("guid"))
+    rows = articles(spark, sf).join(ids, "guid", "left_semi")
+    json_of(rows).select("json").write.option("maxRecordsPerFile", 1).text(path)
     return R.read_json(spark, path)
 
 
@@ -272,8 +275,8 @@ def k1(spark, sf):
 
 
 @query("k2_raw_csv", f"""WITH {ARTICLES_SQL}
-SELECT guid, regexp_replace(translate("story body", chr(13) || chr(9) || chr(10), '   '), '[^\\x00-\\x7F]', '', 'g')
-  AS body, regexp_replace(translate(title, chr(13) || chr(9) || chr(10), '   '), '[^\\x00-\\x7F]', '', 'g') AS title
+SELECT guid, regexp_replace(translate("story body", chr(13) || chr(9) || chr(10) || '"', '   '''), '[^\\x00-\\x7F]', '', 'g')
+  AS body, regexp_replace(translate(title, chr(13) || chr(9) || chr(10) || '"', '   '''), '[^\\x00-\\x7F]', '', 'g') AS title
 FROM articles""")
 def k2(spark, sf):
     path = scratch_path(spark, "k2")

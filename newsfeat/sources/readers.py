@@ -70,24 +70,6 @@ def flag_malformed_xml(df: DataFrame, xml_col: str) -> DataFrame:
     return flagged.withColumn(xml_col, F.when(~F.col("malformed"), F.col(xml_col)))
 
 
-def without_content(xml: Column) -> Column:
-    """The record without its text block, so that most XPaths read a short document.
-
-    Only a record with one plain content block is cut, and only if that block holds none
-    of the indexed elements; any other record is returned whole.
-    """
-    start, end = F.locate("<content", xml), F.locate("</content>", xml)
-    block = F.substring(xml, start, end - start)
-    plain = (
-        (start > 0) & (end > start)
-        & (F.regexp_count(xml, F.lit("</?content[ >]|</?content-|<!--|<!\\[CDATA")) == 2)
-        & ~block.rlike("<(ric|person-perm-id|norm-company|rcs|supplier-num|src-journal-code)")
-    )
-    return F.when(plain, F.concat(
-        F.substring(xml, F.lit(1), start - 1), F.substring(xml, end + len("</content>"), F.length(xml))
-    )).otherwise(xml)
-
-
 def xml_field(xml: Column, path: str) -> Column:
     """All matches of an XPath below the record, joined by spaces."""
     return F.array_join(F.xpath(xml, F.lit(f"/{RECORD_TAG}/{path}")), " ")
@@ -96,10 +78,9 @@ def xml_field(xml: Column, path: str) -> Column:
 def parse_xml(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     """XML records to the article table, other columns kept; `malformed` rows have nulls."""
     rest = [c for c in df.columns if c != xml_col]
-    flagged = flag_malformed_xml(df, xml_col).withColumn("__head", without_content(F.col(xml_col)))
+    flagged = flag_malformed_xml(df, xml_col)
     fields = flagged.select(*rest, "malformed", *[
-        xml_field(F.col(xml_col if "/content/" in path else "__head"), path).alias(name)
-        for name, path in XPATHS.items()])
+        xml_field(F.col(xml_col), path).alias(name) for name, path in XPATHS.items()])
     return fields.withColumns({
         "lead parag": strip_tags(F.col("lead parag")),
         "story body": strip_tags(F.col("story body")),

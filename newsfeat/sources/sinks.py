@@ -16,9 +16,15 @@ SUBSET_COLUMNS = [
 ]
 
 
-def _quoted(df: DataFrame, sep: str, mode: str = "overwrite"):
-    return df.write.mode(mode).options(
-        header=True, sep=sep, quote='"', escape='"', quoteAll=True, encoding="UTF-8")
+# Cells are written as they are: Spark's writer would trim them and spell out empty ones.
+_AS_IS = {
+    "header": True, "quote": '"', "escape": '"', "encoding": "UTF-8", "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _quoted(df: DataFrame, sep: str):
+    return df.write.mode("overwrite").options(**_AS_IS, sep=sep, quoteAll=True)
 
 
 def write_quoted(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -45,7 +51,7 @@ def write_ids(df: DataFrame, path: str, column: str = "scrollid") -> None:
 
 def write_tab(df: DataFrame, path: str) -> None:
     """Tab-separated text whose lines end with a tab."""
-    df.write.mode("overwrite").options(header=True, sep="\t", lineSep="\t\n", quote='"', escape='"').csv(path)
+    df.write.mode("overwrite").options(**_AS_IS, sep="\t", lineSep="\t\n").csv(path)
 
 
 def write_split(df: DataFrame, path: str, sep: str = "\t") -> None:
