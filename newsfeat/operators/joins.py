@@ -66,16 +66,16 @@ def _spread(big: DataFrame, smalls: list[DataFrame], keys: list[str], spread: li
 
 def lookup_join(big: DataFrame, small: DataFrame, keys: str | list[str], how: str = "inner", *,
                 spread: list[str] | None = None, max_rows: int | None = None,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int = HOT_ROWS, small_fits: bool | None = None) -> DataFrame:
     """Join `big` with a lookup side on equal keys: inner, left, left_semi or left_anti.
 
     A side measured to be small is broadcast; any other goes through a shuffle join in
-    which hot keys of `big` are sliced.
+    which hot keys of `big` are sliced. `small_fits` passes on an earlier measurement.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how in ("left_semi", "left_anti"):
         small = small.select(*keys)
-    if fits(small, max_rows):
+    if fits(small, max_rows) if small_fits is None else small_fits:
         return big.join(F.broadcast(small), keys, how)
     big, (small,) = _spread(big, [small], keys, spread, hot_rows)
     return big.join(small, [*keys, _SALT], how).drop(_SALT)
