@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsfeat.functions.tokens import STOP_WORDS
+from newsfeat.functions.tokens import STOP_WORDS, let
 from newsfeat.operators.corpus import ngram_table, token_table
 from newsfeat.operators.joins import first_match, lookup_join
 
-# Widest table built by pivot_wide; column names live in the plan, so they are bounded.
+# Most terms of a wide table: its column names live in the plan, so they are bounded.
 MAX_WIDE_TERMS = 20_000
 
 
@@ -28,7 +28,7 @@ def tfidf(counts: DataFrame, vocabulary: DataFrame, n: int | Column, exact: bool
     outsized one falls back to a sliced shuffle join.
     """
     joined = lookup_join(counts, vocabulary.select("term", "df"), "term", max_rows=max_rows)
-    rest = [c for c in counts.columns if c not in ("term", "tf")]
+    rest = [F.col(f"`{c}`") for c in counts.columns if c not in ("term", "tf")]
     return joined.select(*rest, "term", tfidf_weight(F.col("tf"), F.col("df"), n, exact).alias("tfidf"))
 
 
@@ -57,9 +57,10 @@ def stored_counts(docs: DataFrame, records: DataFrame, kind: str = "token",
         ["sql_tbl_id", "sql_id"], F.col("__order"),
     ).select(F.col("sql_tbl_id").alias("_data_source"), F.col("sql_id").alias("_id"), array)
     joined = lookup_join(docs, one, ["_data_source", "_id"], "inner", max_rows=max_rows)
-    entry = joined.select(*docs.columns, F.explode(array).alias("e"))
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    entry = joined.select(*kept, F.explode(array).alias("e"))
     term = F.col("e.t") if kind == "token" else F.concat_ws(".", "e.g1", "e.g2")
-    return entry.select(*docs.columns, term.alias("term"), F.col("e.c").alias("tf"))
+    return entry.select(*kept, term.alias("term"), F.col("e.c").alias("tf"))
 
 
 def tfidf_from_counts(docs: DataFrame, records: DataFrame, vocabulary: DataFrame, n: int | Column,
@@ -82,15 +83,49 @@ def term_list(vocabulary: DataFrame, max_terms: int | None = None) -> list[str]:
     return terms
 
 
-def pivot_wide(weights: DataFrame, id_cols: list[str], terms: list[str]) -> DataFrame:
-    """One column per term, 0 where a document lacks it. Naming the terms saves a pass."""
-    wide = weights.groupBy(*id_cols).pivot("term", terms).agg(F.first("tfidf"))
-    return wide.na.fill(0.0, subset=[f"`{t}`" for t in terms])
+def dense_weights(weights: DataFrame, id_cols: list[str], terms: list[str]) -> DataFrame:
+    """id columns and `weights`, an array with one value per term of the list, 0 where absent.
+
+    One shuffle on the ids, which have to be unique per document: then no group holds
+    more entries than there are terms. Terms outside the list are left out.
+    """
+    spark = weights.sparkSession
+    places = spark.createDataFrame([(t, i) for i, t in enumerate(terms)], "term string, place int")
+    placed = weights.join(F.broadcast(places), "term")  # at most MAX_WIDE_TERMS rows
+    entries = F.sort_array(F.collect_list(F.struct("place", "tfidf")))
+
+    def padded(s: Column) -> Column:
+        def gap(e: Column, k: Column) -> Column:
+            before = F.coalesce(F.get(s, k - 1)["place"], F.lit(-1))
+            return F.concat(F.array_repeat(F.lit(0.0), e["place"] - before - 1), F.array(e["tfidf"]))
 
+        tail = F.array_repeat(F.lit(0.0), F.lit(len(terms) - 1) - F.get(s, F.size(s) - 1)["place"])
+        return F.flatten(F.concat(F.transform(s, gap), F.array(tail)))
 
-def wide_for(docs: DataFrame, weights: DataFrame, key: str, terms: list[str],
-             max_rows: int | None = None) -> DataFrame:
-    """All rows of `docs` with one column per term; rows without any term get zeros."""
-    wide = pivot_wide(weights.select(key, "term", "tfidf"), [key], terms)
-    joined = lookup_join(docs, wide, key, "left", max_rows=max_rows)
-    return joined.na.fill(0.0, subset=[f"`{t}`" for t in terms])
+    grouped = placed.groupBy(*id_cols).agg(entries.alias("entries"))
+    return grouped.select(*id_cols, let(F.col("entries"), padded).alias("weights"))
+
+
+def wide_for(docs: DataFrame, weights: DataFrame, key: str, terms: list[str]) -> DataFrame:
+    """All rows of `docs` with their `weights` array; rows without any term get zeros.
+
+    `key` has to be unique in `docs`, so both sides of the join have one row per key.
+    """
+    dense = dense_weights(weights.select(key, "term", "tfidf"), [key], terms)
+    zeros = F.array_repeat(F.lit(0.0), len(terms))
+    return docs.join(dense, key, "left").withColumn("weights", F.coalesce("weights", zeros))
+
+
+def expand_columns(df: DataFrame, terms: list[str]) -> DataFrame:
+    """Turn `weights` into one column per term, as the last step before writing.
+
+    A term that is already a column name gets the prefix `tfidf_`.
+    """
+    rest = [c for c in df.columns if c != "weights"]
+    named = [f"tfidf_{t}" if t in rest else t for t in terms]
+    return df.selectExpr(*[f"`{c}`" for c in rest], *[f"weights[{i}] AS `{n}`" for i, n in enumerate(named)])
+
+
+def pivot_wide(weights: DataFrame, id_cols: list[str], terms: list[str]) -> DataFrame:
+    """One column per term, 0 where a document lacks it. Naming the terms saves a pass."""
+    return expand_columns(dense_weights(weights, id_cols, terms), terms)
