@@ -156,7 +156,7 @@ def f9(spark, sf):
 @query("m10_three_class")
 def m10(spark, sf):
     train, test = M.hash_split(training_rows(spark, sf), "_guid")
-    scored = M.three_class(train, test, M.estimators()["linear_svc"], X_COLS)
+    scored = M.three_class(train, test, M.estimators()["linear_svc"].setMaxIter(10), X_COLS)
     return scored.select("_guid", "significance", F.col("prediction").cast("int").alias("prediction"))
 
 

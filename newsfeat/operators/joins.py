@@ -135,7 +135,7 @@ def split_by_ids(df: DataFrame, test_ids: DataFrame, key: str,
 
 
 def drop_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.na.drop(subset=columns)
+    return df.na.drop(subset=[f"`{c}`" for c in columns])
 
 
 def join_features(df: DataFrame, features: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:

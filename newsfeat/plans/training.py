@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsfeat.functions.features import add_field, binary_labels, count_feature, hour_of
-from newsfeat.operators.joins import merge_on
+from newsfeat.operators.joins import drop_nulls, merge_on
 from newsfeat.operators.sentiment import rule_sentiment
 
 # Counted columns of the labelled table, columns dropped from each feature
@@ -52,4 +52,5 @@ def training_table(tokens: DataFrame, labelled: DataFrame, bi_grams: DataFrame,
 
 def training_rows(df: DataFrame, x_cols: list[str], y_cols: list[str]) -> DataFrame:
     """Chosen columns of rows without any null."""
-    return df.select(*[F.col(f"`{c}`") for c in [*x_cols, *y_cols]]).na.drop()
+    columns = [*x_cols, *y_cols]
+    return drop_nulls(df.select(*[F.col(f"`{c}`") for c in columns]), columns)
