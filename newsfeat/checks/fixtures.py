@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsfeat.functions.tokens import STOP_WORDS
+from newsfeat.sources.readers import read_table
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return read_table(spark, f"{sf}/{name}.parquet")
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:

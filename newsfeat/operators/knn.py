@@ -114,17 +114,20 @@ def _best(train: pd.DataFrame, test: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.concat(parts, ignore_index=True)
 
 
-def neighbours(train: DataFrame, test: DataFrame, k: int = 3, pivots: int = PIVOTS,
+def neighbours(train: DataFrame, test: DataFrame, k: int = 3, pivots: int | None = None,
                block_rows: int = BLOCK_ROWS) -> DataFrame:
     """test_id, train_id, label, similarity, rank of the k nearest train rows.
 
-    `train` has train_id, vector and label, `test` has test_id and vector. Equal
-    similarities are ranked by train_id.
+    `train` has train_id, vector and label, `test` has test_id and vector, ids are unique.
+    Equal similarities are ranked by train_id. There are about four cells per block of
+    rows, at most PIVOTS, unless `pivots` says otherwise.
     """
     spark = train.sparkSession
     ship_package(spark)
     train = train.select(F.col("train_id").cast("bigint"), F.col("vector"), F.col("label").cast("int"))
     test = test.select(F.col("test_id").cast("bigint"), "vector")
+    if pivots is None:
+        pivots = min(PIVOTS, max(1, -(-4 * train.count() // block_rows)))
     centres = _pivots(train, pivots)
     placed = stored(_assign(train, centres), "knn-train")
     # One row per cell, so at most `pivots` rows reach the driver.
@@ -149,7 +152,7 @@ def neighbours(train: DataFrame, test: DataFrame, k: int = 3, pivots: int = PIVO
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def cosine_knn(train: DataFrame, test: DataFrame, k: int = 3, pivots: int = PIVOTS,
+def cosine_knn(train: DataFrame, test: DataFrame, k: int = 3, pivots: int | None = None,
                block_rows: int = BLOCK_ROWS) -> DataFrame:
     """test_id, prediction by majority of the k nearest; the smaller label wins ties."""
     votes = neighbours(train, test, k, pivots, block_rows).groupBy("test_id", "label").agg(F.count("*").alias("n"))

@@ -48,10 +48,11 @@ def stored_counts(docs: DataFrame, records: DataFrame, kind: str = "token",
     """Counts of labelled rows (_data_source, _id, …) out of nested records.
 
     The first record of a document wins; rows without one have no counts. `records` has
-    sql_tbl_id, sql_id, t_counts and bg_counts, its order is that of `seq` if present.
+    sql_tbl_id, sql_id, t_counts and bg_counts; its order is that of `seq` if present,
+    else a fixed one by content.
     """
     array = "t_counts" if kind == "token" else "bg_counts"
-    order = F.col("seq") if "seq" in records.columns else F.to_json(F.struct(array))
+    order = F.col("seq") if "seq" in records.columns else F.xxhash64(array)
     one = first_match(
         records.select("sql_tbl_id", "sql_id", order.alias("__order"), array),
         ["sql_tbl_id", "sql_id"], F.col("__order"),

@@ -50,6 +50,9 @@ BULK_FIELDS = ["scrollid", "maindocdate", "hiorgid", "i2", "if3", "sources", "su
 RATING_NAMES = {"Significance Rating": "Significance", "Significance Rating ": "Significance"}
 LABEL_SCHEMA = "array<struct<guid:struct<guid:string>,significance:string>>"
 
+# Usual bytes of a scan split, and the table size from which spreading over cores pays.
+SPLIT_BYTES, SPREAD_FROM = 128 * 1024 * 1024, 1024 * 1024
+
 _CORRUPT = "_corrupt_record"
 
 
@@ -296,6 +299,18 @@ def parse_labels(df: DataFrame, json_col: str = "json") -> DataFrame:
     return items.select("item.guid.guid", "item.significance", "pos")
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table. One of too few splits to keep every core busy is spread over them.
+
+    A table with more splits than cores is read as it lies, without any shuffle.
+    """
+    df = spark.read.parquet(path)
+    fs, target = _file_system(spark, path)
+    cores = spark.sparkContext.defaultParallelism
+    few_splits = SPREAD_FROM < fs.getContentSummary(target).getLength() < cores * SPLIT_BYTES
+    return df.repartition(cores) if few_splits else df
+
+
 def select_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Column-projected table; the projection reaches the scan."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
