@@ -276,8 +276,7 @@ def l8(spark, sf):
     t = source_tables(spark, sf)
     corpus = C.corpus_sources(t["swift"], t["swift_excel"], t["nsc"], t["nsc_excel"])
     dictionary = stored(C.token_dictionary(corpus, stem=False), "dictionary")
-    totals, frequencies = C.extract_grams(corpus, dictionary, stem=False)
-    return totals.join(frequencies, ["source_id", "g1", "g2"])
+    return C.extract_grams(corpus, dictionary, stem=False)
 
 
 @query("l9_bi_gram_vocabulary", f"{DOCS}, {VOCAB_SQL} SELECT term, df FROM bg_vocab")

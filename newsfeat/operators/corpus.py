@@ -221,17 +221,15 @@ def token_dictionary(docs: DataFrame, text: str = "body", stem: bool = True) ->
 
 
 def extract_grams(docs: DataFrame, dictionary: DataFrame, text: str = "body", stem: bool = True,
-                  max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Encoded per-source occurrence counts and document frequencies of bi-grams.
+                  max_rows: int | None = None) -> DataFrame:
+    """source_id, g1, g2 (ids), c, df: occurrences and document frequency of bi-grams.
 
-    Counting runs on tokens and the far smaller result is encoded, which gives the same
-    ids as encoding every occurrence first.
+    One pass and one shuffle give both. Counting runs on tokens and the far smaller
+    result is encoded, which gives the same ids as encoding every occurrence first.
     """
-    grams = bi_gram_table(docs, ["source_id", "doc_id"], text, stem)
-    keys = ["source_id", "g1", "g2"]
-    totals = encode(occurrences(grams, keys), dictionary, max_rows)
-    frequencies = encode(document_frequency(grams, keys), dictionary, max_rows)
-    return totals, frequencies
+    grams = bi_gram_table(docs, ["source_id"], text, stem)
+    counts = grams.groupBy("source_id", "g1", "g2").agg(F.sum("c").alias("c"), F.count("*").alias("df"))
+    return encode(counts, dictionary, max_rows)
 
 
 def bi_gram_vocabulary(counts: DataFrame, dictionary: DataFrame, n: int | Column = BI_GRAM_CORPUS_SIZE,
