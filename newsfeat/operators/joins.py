@@ -8,14 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bounds for sending a side to every executor, the number of slices a hot key is cut
-# into, and the row count from which a key counts as hot.
+# Bounds for sending a side to every executor, and the row count from which a key counts
+# as hot, which is also the size of its slices.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
-SALTS = 64
 HOT_ROWS = 1_000_000
 
-_SALT, _HOT = "__salt", "__hot"
+_SALT, _SLICES = "__salt", "__slices"
 
 
 def _width(field: T.StructField) -> Column:
@@ -42,24 +41,27 @@ def _spread(big: DataFrame, smalls: list[DataFrame], keys: list[str], spread: li
             hot_rows: int) -> tuple[DataFrame, list[DataFrame]]:
     """Cut the rows of hot keys into slices and copy the matching small rows to each slice.
 
+    A key gets one slice per `hot_rows` rows, so slices stay alike however large the key.
     There are at most rows/hot_rows hot keys, so their list may be broadcast. Slices come
     from a hash of the other columns (or `spread`), so a rerun task gives the same ones.
+    Rows with a null key match nothing and may go anywhere.
     """
     hot = F.broadcast(
         big.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
-        .select(*keys, F.lit(True).alias(_HOT))
+        .select(*keys, F.ceil(F.col("n") / hot_rows).cast("int").alias(_SLICES))
     )
     others = spread or [c for c in big.columns if c not in keys] or keys
-    slice_of = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in others]), F.lit(SALTS)).cast("int")
+    place = F.xxhash64(*[F.col(f"`{c}`") for c in others])
     some_null = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    slices = F.when(some_null, F.lit(2**30)).otherwise(F.coalesce(_SLICES, F.lit(1)))
     big = (
         big.join(hot, keys, "left")
-        .withColumn(_SALT, F.when(some_null | F.col(_HOT), slice_of).otherwise(F.lit(0)))
-        .drop(_HOT)
+        .withColumn(_SALT, F.pmod(place, slices).cast("int"))
+        .drop(_SLICES)
     )
-    copies = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce(_SLICES, F.lit(1)) - 1)
     smalls = [
-        s.join(hot, keys, "left").withColumn(_SALT, F.explode(copies)).drop(_HOT) for s in smalls
+        s.join(hot, keys, "left").withColumn(_SALT, F.explode(copies)).drop(_SLICES) for s in smalls
     ]
     return big, smalls
 
