@@ -256,8 +256,8 @@ def s12(spark, sf):
 @query("s13_cached_table", "SELECT source AS source_id, doc_id, text AS body FROM documents")
 def s13(spark, sf):
     path = scratch_path(spark, "cache")
-    R.cached(spark, path, lambda: docs(spark, sf).limit(0), refresh=False)
-    return R.cached(spark, path, lambda: docs(spark, sf), refresh=True)
+    R.cached(spark, path, lambda: docs(spark, sf), refresh=True)
+    return R.cached(spark, path, lambda: docs(spark, sf))
 
 
 def read_back(spark, path, sep=",", **options):
