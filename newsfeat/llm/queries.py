@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfeat.llm import line_quality, secret_scan, sql, url_filter
+from newsfeat.llm import line_quality, refine_dedup, secret_scan, sql, url_filter, warc
 from newsfeat.llm.common import table
+from newsfeat.session import scratch_path
 
 #: Rules of the URL query; the longest that fits wins.
 URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block",
@@ -18,6 +19,30 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_refine_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return refine_dedup.exact_groups(docs, hash_all=True)
+
+
+def op3_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = scratch_path(spark, "warc")
+    warc.write_archives(warc.capture_records(pages), path)
+    records = warc.http_parts(warc.read_archives(spark, path))
+    whole = F.col("record_type") == "response"
+    declared = F.regexp_extract("http_headers", r"(?i)Content-Length: (\d+)", 1).cast("long")
+    response = F.struct(
+        "record_type", F.when(whole, F.octet_length("payload").cast("long")).otherwise(declared).alias("bytes"),
+        F.when(whole, F.sha2("payload", 256)).otherwise(F.substring_index("digest", ":", -1)).alias("digest"),
+        F.substring_index("refers_to", ":", -1).cast("long").alias("refers_to"))
+    captures = warc.assemble(records, response, F.struct("record_id"), F.col("block").cast("string"))
+    page = F.regexp_extract(F.get("metadata", F.lit(0)), r"^page: (\d+)$", 1)
+    return captures.select(
+        F.when(page != "", page).cast("long").alias("page_id"), F.col("response.bytes").alias("payload_bytes"),
+        F.col("response.digest").alias("payload_digest"), F.col("response.record_type").alias("record_type"),
+        F.col("response.refers_to").alias("refers_to"))
+
+
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_quality.judge_documents(docs).select(
@@ -36,6 +61,8 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_refine_dedup": op2_refine_dedup,
+    "op3_warc_captures": op3_warc_captures,
     "op4_line_quality": op4_line_quality,
     "op6_secret_scan": op6_secret_scan,
 }

@@ -84,4 +84,21 @@ SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesc
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN per_row USING (rid)"""
 
-ORACLES = {"op4_line_quality": QUALITY, "op6_secret_scan": SECRETS}
+EQUAL = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+h AS (SELECT doc_id, sha256(t) AS text_sha256 FROM n)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+  doc_id = min(doc_id) OVER g AS kept, text_sha256
+FROM h WINDOW g AS (PARTITION BY text_sha256)"""
+
+CAPTURES = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest)
+  ELSE page_id END AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM f"""
+
+ORACLES = {"op2_refine_dedup": EQUAL, "op3_warc_captures": CAPTURES, "op4_line_quality": QUALITY, "op6_secret_scan": SECRETS}
