@@ -11,25 +11,37 @@ from pyspark.sql import functions as F
 from newsfeat.llm.common import WORD, words_of
 
 SYMBOLS = "[^#*$%&|<>]+"
-#: A word with two or more marks in a row, as in `no!!` or `word###`.
+#: Two or more marks in a row, as in `no!!` or `word###`.
 NOISE = r"[!?#*$%&|<>~^=]{2,}"
 #: Separators of menus and link bars.
 SEPARATORS = "[|»›•·]"
-MENU = r"(?i)^[^A-Za-z]*(home|menu|log ?in|sign (in|up)|search|sitemap|contact( us)?|about( us)?|next|previous|share|skip to content)[^A-Za-z]*$"
-BOILERPLATE = (r"(?i)(privacy policy|terms of (use|service)|cookie policy|uses cookies|accept cookies|enable javascript|"
-               r"subscribe to our newsletter|click here|all rights reserved|lorem ipsum)")
-DEFAULTS = {"noise": NOISE, "separators": SEPARATORS, "menu": MENU, "boilerplate": BOILERPLATE}
+MENU = r"^[^A-Za-z]*(home|menu|log ?in|sign (in|up)|search|sitemap|contact( us)?|about( us)?|next|previous|share|skip to content)[^A-Za-z]*$"
+BOILERPLATE = ("privacy policy", "terms of use", "terms of service", "cookie policy", "uses cookies", "accept cookies",
+               "enable javascript", "subscribe to our newsletter", "click here", "all rights reserved", "lorem ipsum")
+#: Longer lines that mention a boilerplate phrase are prose.
+MOST_BOILERPLATE_WORDS = 25
 
 
-def line_fails(line: Column) -> Column:
-    """A line fails for noise (over a fifth of its words), for navigation or for boilerplate; blank lines pass."""
-    size = F.regexp_count(line, F.lit(WORD))
-    noise = 5 * F.regexp_count(line, F.lit(NOISE)) > size
-    navigation = (F.regexp_count(line, F.lit(SEPARATORS)) >= 2) | line.rlike(MENU)
-    boilerplate = (size <= 25) & line.rlike(BOILERPLATE)
-    return (size > 0) & (noise | navigation | boilerplate)
+def _any(text: Column) -> Column:
+    out = F.lit(False)
+    for phrase in BOILERPLATE:
+        out = out | F.contains(text, F.lit(phrase))
+    return out
+
 
+def line_fails(line: Column, noisy: Column | bool = True, barred: Column | bool = True,
+               boiler: Column | bool = True) -> Column:
+    """A line fails for noise (over a fifth of its words), for navigation or for boilerplate; blank lines pass.
 
+    The flags tell whether the document holds any mark, separator or phrase at all.
+    """
+    size = F.regexp_count(line, F.lit(WORD))
+    lower = F.lower(line)
+    flag = lambda x: F.lit(x) if isinstance(x, bool) else x
+    return ((flag(noisy) & (5 * F.regexp_count(line, F.lit(NOISE)) > size))
+            | (flag(barred) & (F.regexp_count(line, F.lit(SEPARATORS)) >= 2))
+            | ((F.length(line) <= 60) & lower.rlike(MENU))
+            | (flag(boiler) & _any(lower) & (size <= MOST_BOILERPLATE_WORDS)))
 
 
 def judge_documents(docs: DataFrame, text: str = "text", width: int = 5, least_words: int = 10,
@@ -45,19 +57,22 @@ def judge_documents(docs: DataFrame, text: str = "text", width: int = 5, least_w
     names = [c for c in docs.columns if c not in added]
     whole = F.coalesce(F.col(text), F.lit(""))
     df = docs.select(*names, words_of(F.col(text)).alias("_words"), F.split(whole, "\n", -1).alias("_lines"),
+                     whole.rlike(NOISE).alias("_noisy"), whole.rlike(SEPARATORS).alias("_barred"),
+                     _any(F.lower(whole)).alias("_boiler"),
                      F.length(F.regexp_replace(whole, SYMBOLS, "")).cast("long").alias("n_symbols"))
+    flags = [F.col("_noisy"), F.col("_barred"), F.col("_boiler")]
     df = df.select(
         *names, "n_symbols", "_lines", F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"),
         F.filter("_lines", lambda line: line.rlike(WORD)).alias("_full"),
-        F.filter("_lines", line_fails).alias("_bad"))
-    grams = F.transform(F.sequence(F.lit(0), F.col("n_words").cast("int") - width),
-                        lambda i: F.xxhash64(*(F.get("_hashes", i + k) for k in range(width))))
+        F.filter("_lines", lambda line: line_fails(line, *flags)).alias("_bad"), *flags)
+    grams = F.transform(F.slice("_hashes", width, 2**30),
+                        lambda h, i: F.xxhash64(h, *(F.get("_hashes", i + k) for k in range(width - 1))))
     df = df.select(
-        *names, "n_symbols", "n_words", "word_chars", "_lines", "_bad",
+        *names, "n_symbols", "n_words", "word_chars", "_lines", "_bad", *flags,
         (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
-        F.when(F.col("n_words") >= width, grams).otherwise(F.array().cast("array<bigint>")).alias("_grams"))
+        grams.alias("_grams"))
     # (hash, position) sorted, only where some window repeats
     spots = F.sort_array(F.transform("_grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     df = df.withColumn("_spots", F.when(F.size(F.array_distinct("_grams")) < F.size("_grams"), spots))
@@ -70,7 +85,7 @@ def judge_documents(docs: DataFrame, text: str = "text", width: int = 5, least_w
         "n_repeat_words": F.coalesce(F.aggregate(cover, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long"),
         "lost_chars": lost.cast("long"), "_total": total, "n_bad_lines": F.size("_bad").cast("long"),
         "clean_text": F.when(F.size("_bad") == 0, F.array_join("_lines", "\n")).otherwise(
-            F.array_join(F.filter("_lines", lambda line: ~line_fails(line)), "\n"))})
+            F.array_join(F.filter("_lines", lambda line: ~line_fails(line, *flags)), "\n"))})
     failed = (F.col("n_words") < least_words) | (
         100 * F.col("n_repeat_words") > most_repeat_pct * F.col("n_words"))
     df = df.withColumn("base_failed", failed).withColumn(

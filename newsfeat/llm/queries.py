@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfeat.llm import line_quality, refine_dedup, secret_scan, sql, url_filter, warc
+from newsfeat.llm import line_quality, packing, refine_dedup, secret_scan, sql, token_blocks, url_filter, warc
 from newsfeat.llm.common import table
 from newsfeat.session import scratch_path
 
@@ -59,11 +60,23 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.span_digest(F.col("secrets"), False).alias("spans"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_blocks.tokens_of(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_refine_dedup": op2_refine_dedup,
     "op3_warc_captures": op3_warc_captures,
     "op4_line_quality": op4_line_quality,
     "op6_secret_scan": op6_secret_scan,
+    "op7_packing": op7_packing,
+    "op10_token_blocks": op10_token_blocks,
 }
 ORACLES = {name: text for name, text in sql.ORACLES.items() if name in QUERIES}

@@ -14,10 +14,12 @@ def _q(pattern: str) -> str:
 
 def line_fails(line: str) -> str:
     size = rf"len(regexp_extract_all({line}, '[^\x20\x09-\x0D]+'))"
-    return (f"({size} > 0 AND (5 * len(regexp_extract_all({line}, '{_q(lq.NOISE)}')) > {size}"
+    lower = f"lower({line})"
+    phrases = " OR ".join(f"contains({lower}, '{p}')" for p in lq.BOILERPLATE)
+    return (f"(5 * len(regexp_extract_all({line}, '{_q(lq.NOISE)}')) > {size}"
             f" OR len(regexp_extract_all({line}, '{_q(lq.SEPARATORS)}')) >= 2"
-            f" OR regexp_matches({line}, '{_q(lq.MENU)}')"
-            f" OR ({size} <= 25 AND regexp_matches({line}, '{_q(lq.BOILERPLATE)}'))))")
+            f" OR (length({line}) <= 60 AND regexp_matches({lower}, '{_q(lq.MENU)}'))"
+            f" OR ({size} <= {lq.MOST_BOILERPLATE_WORDS} AND ({phrases})))")
 
 
 QUALITY = rf"""

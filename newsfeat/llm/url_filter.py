@@ -125,22 +125,25 @@ def fit_url_model(labelled: DataFrame, volumes: dict[str, DataFrame], label: str
     """Fit on labelled rows that have the lexical features; label 1 is block, 0 allow.
 
     At most `max_rows` labelled rows are used, those with the smallest hash of the URL, so the
-    fit does not grow with the corpus. Suffix rates are smoothed towards the overall rate by
-    `weight` rows. Without labelled rows everything is allowed; with one label only, that
+    fit does not grow with the corpus. Both labels get the same total weight; suffix rates are
+    smoothed towards one half by `weight` rows. Without labelled rows everything is allowed; with one label only, that
     label is the answer.
     """
-    rows = stored(labelled.orderBy(F.xxhash64("url"), "url").limit(max_rows), "labelled")
-    size, base = rows.agg(F.count("*"), F.avg(F.col(label).cast("double"))).first()
+    rows = stored(labelled.orderBy(F.xxhash64("url"), "url").limit(max_rows)
+                  .withColumn("label", F.col(label).cast("double")), "labelled")
+    size, base = rows.agg(F.count("*"), F.avg("label")).first()
     base = base or 0.0
+    if not size or base in (0.0, 1.0):
+        return UrlModel(None, {}, base)
+    # both labels weigh the same, so a suffix nobody labelled says nothing
+    rows = rows.withColumn("w", F.when(F.col("label") == 1, 0.5 / base).otherwise(0.5 / (1 - base)))
     rates = {level: rows.groupBy(level).agg(
-        ((F.sum(F.col(label).cast("double")) + weight * base) / (F.count("*") + weight)).alias(f"{level}_rate"))
+        ((F.sum(F.col("label") * F.col("w")) + 0.5 * weight) / (F.sum("w") + weight)).alias(f"{level}_rate"))
         for level in LEVELS}
-    model = UrlModel(None, rates, base)
-    if size and 0.0 < base < 1.0:
-        fit = _assembler().transform(model.features(rows, volumes)).select(
-            "url_features", F.col(label).cast("double").alias("label"))
-        model.trees = GBTClassifier(featuresCol="url_features", labelCol="label", maxIter=trees, maxDepth=depth,
-                                    seed=7).fit(fit)
+    model = UrlModel(None, rates, 0.5)
+    fit = _assembler().transform(model.features(rows, volumes)).select("url_features", "label", "w")
+    model.trees = GBTClassifier(featuresCol="url_features", labelCol="label", weightCol="w", maxIter=trees,
+                                maxDepth=depth, seed=7).fit(fit)
     return model
 
 
