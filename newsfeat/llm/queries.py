@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfeat.llm import line_quality, packing, refine_dedup, secret_scan, sql, token_blocks, url_filter, warc
+from newsfeat.llm import line_quality, packing, refine_dedup, secret_scan, sql, stream_bpe, token_blocks, url_filter, warc
 from newsfeat.llm.common import table
 from newsfeat.session import scratch_path
 
@@ -65,6 +65,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op9_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return stream_bpe.encode_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_blocks.tokens_of(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -77,6 +82,7 @@ QUERIES = {
     "op4_line_quality": op4_line_quality,
     "op6_secret_scan": op6_secret_scan,
     "op7_packing": op7_packing,
+    "op9_stream_bpe": op9_stream_bpe,
     "op10_token_blocks": op10_token_blocks,
 }
 ORACLES = {name: text for name, text in sql.ORACLES.items() if name in QUERIES}
