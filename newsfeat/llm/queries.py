@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfeat.llm import line_quality, packing, refine_dedup, secret_scan, sql, stream_bpe, token_blocks, url_filter, warc
+from newsfeat.llm import line_quality, packing, refine_dedup, secret_scan, setsketch, sql, stream_bpe, token_blocks, url_filter, warc
 from newsfeat.llm.common import table
 from newsfeat.session import scratch_path
 
@@ -50,6 +50,10 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     found = secret_scan.scan_secrets(docs, repository=F.concat_ws("/", "source", "lang"), carry=["doc_id"])
@@ -80,6 +84,7 @@ QUERIES = {
     "op2_refine_dedup": op2_refine_dedup,
     "op3_warc_captures": op3_warc_captures,
     "op4_line_quality": op4_line_quality,
+    "op5_setsketch_dedup": op5_setsketch_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_packing": op7_packing,
     "op9_stream_bpe": op9_stream_bpe,
