@@ -87,28 +87,41 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(mix(out))
 
 
-def registers(items: np.ndarray) -> np.ndarray:
-    """uint16 registers of a set of hashes.
+def registers(sets: list[np.ndarray]) -> np.ndarray:
+    """uint16 registers, one row for each set of hashes; no set is empty.
 
     Each element throws points on a line at rate RATE * REGISTERS, each into a register drawn at
     random: every register then gets an exponential variable of its own from every element.
-    Only points before the largest of the registers' minima matter.
+    Only points before the largest of the set's minima matter.
     """
-    low = np.full(REGISTERS, np.inf)
-    at, step = np.zeros(len(items)), 0
-    columns = max(1, int(np.ceil(REGISTERS * 7 / max(1, len(items)))) if len(items) < 2 * REGISTERS else 1)
+    items, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    low, at, step = np.full((len(sets), REGISTERS), np.inf), np.zeros(len(items)), 0
     while len(items):
-        turn = np.arange(step + 1, step + 1 + columns, dtype=np.uint64) * _GOLD
-        h = mix(items[:, None] ^ mix(turn)[None, :])
-        x = at[:, None] + np.cumsum(-np.log(((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53), axis=1) / (
-            RATE * REGISTERS)
-        where = (mix(h) % np.uint64(REGISTERS)).astype(np.int64)
-        np.minimum.at(low, where.ravel(), x.ravel())
-        alive = x[:, -1] < low.max()
-        items, at, step = items[alive], x[alive, -1], step + columns
+        columns = 1 if step < 6 else 16  # small sets need many points, when few elements are left
+        turn = mix(np.arange(step + 1, step + 1 + columns, dtype=np.uint64) * _GOLD)
+        h = mix(items[:, None] ^ turn[None, :])
+        x = -np.log(((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / (RATE * REGISTERS)
+        x = at[:, None] + (np.cumsum(x, axis=1) if columns > 1 else x)
+        where = ((h * _M1) >> np.uint64(32)) * np.uint64(REGISTERS) >> np.uint64(32)
+        np.minimum.at(low.reshape(-1), (owner[:, None] * REGISTERS + where.astype(np.int64)).ravel(), x.ravel())
+        alive = x[:, -1] < low.max(axis=1)[owner]
+        items, owner, at, step = items[alive], owner[alive], x[alive, -1], step + columns
     return np.clip(np.floor(1 - np.log(low) / np.log(BASE)), 0, TOP).astype(np.uint16)
 
 
+def sketches(sets: list[np.ndarray], most: int = 200_000) -> Iterator[np.ndarray]:
+    """Registers of each set, a bounded number of elements at a time."""
+    group, size = [], 0
+    for s in sets:
+        if group and size + len(s) > most:
+            yield from registers(group)
+            group, size = [], 0
+        group.append(s)
+        size += len(s)
+    if group:
+        yield from registers(group)
+
+
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """One 64-bit key per band; the band's number is part of it."""
     rows = regs.reshape(BANDS, ROWS).astype(np.uint64)
@@ -126,14 +139,13 @@ def sketch_documents(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, regs, bands = [], [], [], []
-            for cell in batch.column("text"):
-                items = shingles(cell.as_py())
-                sizes.append(len(items))
-                digests.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest() if len(items) else None)
-                r = registers(items) if len(items) else None
-                regs.append(r.tobytes() if len(items) else None)
-                bands.append(band_keys(r) if len(items) else None)
+            sets = [shingles(cell.as_py()) for cell in batch.column("text")]
+            sizes = [len(x) for x in sets]
+            digests = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
+            first = {d: x for d, x in zip(digests, sets) if d}  # equal sets are sketched once
+            known = dict(zip(first, sketches(list(first.values()))))
+            regs = [known[d].tobytes() if d else None for d in digests]
+            bands = [band_keys(known[d]) if d else None for d in digests]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(regs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
