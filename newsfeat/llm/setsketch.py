@@ -29,6 +29,8 @@ BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
 #: A pair goes when its best likelihood beats the best with a link by e^18, six standard deviations.
 DOUBT = 18.0
+#: Members of a bucket that the others meet in the second round.
+LEADERS = 16
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -253,32 +255,47 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         F.first("registers").alias("registers"), F.first("bands").alias("bands"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     spots = classes.select("node", F.explode("bands").alias("bucket"))
-    leads = spots.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    crowd = stored(spots.join(leads.drop("n"), "bucket"), "crowd")  # members of buckets that others share
-    wanted = classes.join(crowd.select("node").distinct(), "node").select("node", "first", "digest")
-    sets = stored(shingle_sets(docs, stored(wanted, "wanted"), key, text), "sets")
-
-    # every member with the first one of its buckets; the likeliest of these first
-    pairs = crowd.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    sizes = spots.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    crowd = stored(spots.join(sizes, "bucket"), "crowd")  # members of buckets that others share
+    # the member that shares most is closest to the centre of its group
+    people = stored(crowd.groupBy("node").agg(F.sum("n").alias("shared")).join(
+        classes.select("node", "first", "digest", "n_shingles"), "node"), "people")
+    sets = stored(shingle_sets(docs, people.select("node", "first", "digest"), key, text), "sets")
+    member = crowd.join(people.select("node", "shared", "n_shingles"), "node").select(
+        "bucket", "node", "shared", "n_shingles")
+
+    # every member with the central one of its buckets; the likeliest of these first
+    lead = member.groupBy("bucket").agg(F.max(F.struct("shared", "node"))["node"].alias("lead"))
+    pairs = member.join(lead, "bucket").where("node <> lead").select(
+        F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     pairs = stored(estimate(pairs, classes), "pairs")
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("est", "a")).alias("a"))
     links = stored(verify(best, sets), "links")
     labels = components(links)
-    # then those that are not connected yet
-    more = stored(_across(pairs, labels).join(best, ["a", "b"], "left_anti").select("a", "b"), "more")
+    tried = pairs.select("a", "b")
+    more = stored(_across(tried, labels).join(best, ["a", "b"], "left_anti").select("a", "b"), "more")
     links = stored(links.unionByName(verify(more, sets)), "links")
+    # then, in buckets that are still in several parts, members of other parts with more central ones
+    for slots in (LEADERS, None):
+        labels = components(links)
+        named = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        split = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+        named = stored(named.join(split.select("bucket"), "bucket").select(
+            "bucket", "node", "label", "n_shingles", "shared"), "split")
+        some = named
+        if slots:
+            some = named.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(slots))).agg(
+                F.max(F.struct("shared", "node", "label", "n_shingles")).alias("m")).select("bucket", "m.*")
+        # at last all pairs of different parts
+        left = some.select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n_shingles").alias("nx"))
+        rest = left.join(named, "bucket").where(
+            f"lx <> label AND 100 * least(nx, n_shingles) >= {LINK} * greatest(nx, n_shingles)").select(
+            F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+        known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        rest = stored(estimate(rest.join(known, ["a", "b"], "left_anti"), classes).select("a", "b"), "rest")
+        tried = tried.unionByName(rest)
+        links = stored(links.unionByName(verify(rest, sets)), "links")
     labels = components(links)
-    # then all pairs of a bucket that is still in several parts, but for those already tried
-    named = crowd.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    split = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-    open_ = stored(named.join(split.select("bucket"), "bucket").join(
-        classes.select("node", "n_shingles"), "node"), "open")
-    member = open_.select("node", "bucket", "label", "n_shingles")
-    left, right = member.toDF("a", "bucket", "la", "na"), member.toDF("b", "bucket", "lb", "nb")
-    rest = left.join(right, "bucket").where(
-        f"a < b AND la <> lb AND 100 * least(na, nb) >= {LINK} * greatest(na, nb)").select("a", "b").distinct()
-    rest = estimate(rest, classes).join(pairs, ["a", "b"], "left_anti")
-    labels = components(links.unionByName(verify(stored(rest, "rest"), sets)))
 
     by_class = classes.join(labels, "node", "left").select(
         "digest", "first", F.coalesce("label", "node").alias("label"))
