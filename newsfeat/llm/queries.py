@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfeat.llm import line_quality, packing, refine_dedup, secret_scan, setsketch, sql, stream_bpe, token_blocks, url_filter, warc
+from newsfeat.llm import line_quality, packing, phrase_parse, refine_dedup, secret_scan, setsketch, sql, stream_bpe, token_blocks, url_filter, warc
 from newsfeat.llm.common import table
 from newsfeat.session import scratch_path
 
@@ -69,6 +69,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op8_phrase_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_parse.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return stream_bpe.encode_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -87,6 +91,7 @@ QUERIES = {
     "op5_setsketch_dedup": op5_setsketch_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_packing": op7_packing,
+    "op8_phrase_parse": op8_phrase_parse,
     "op9_stream_bpe": op9_stream_bpe,
     "op10_token_blocks": op10_token_blocks,
 }
