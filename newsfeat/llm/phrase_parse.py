@@ -24,7 +24,7 @@ from newsfeat.session import ship_package, stored
 
 WINDOW = 200
 #: Bytes of a trigger, of a context's core, and the mean distance of triggers.
-TRIGGER, CORE, EVERY = 8, 64, 32
+TRIGGER, CORE, EVERY = 8, 40, 32
 PAGE_BITS, PAGES = 32_768, 2_048
 
 
@@ -143,14 +143,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("tid", F.sha2("text", 256))
     parts = contexts(rows.where(F.octet_length("text") >= WINDOW).select("tid", "text"))
-    dictionary = parts.groupBy("core", "context").agg(F.count("*").alias("n"), F.min("tid").alias("who"))
+    # cores alone in the corpus are out before anything else is kept of them
+    again = stored(parts.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "cores")
+    spots = stored(_likely(parts, again).join(again, "core", "left_semi").withColumn("own", F.xxhash64("tid")), "spots")
+    dictionary = spots.groupBy("core", "context").agg(F.count("*").alias("n"), F.min("own").alias("who"))
     dictionary = stored(dictionary, "dictionary")
-    cores = dictionary.groupBy("core").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"), F.min("n").alias("least"))
-    cores = cores.where("all > 1").select("core", (F.expr("kinds > 1 AND least = 1")).alias("open"))
-    known = stored(dictionary.join(cores, "core"), "known")
-
-    spots = _likely(parts, known).join(known, ["core", "context"])
-    full, shows = F.expr("n > 1"), F.expr("open AND (n = 1 OR who = tid)")
+    cores = dictionary.groupBy("core").agg((F.expr("count(*) > 1 AND min(n) = 1")).alias("open"))
+    known = dictionary.join(cores, "core")
+    spots = spots.join(known, ["core", "context"])
+    full, shows = F.expr("n > 1"), F.expr("open AND (n = 1 OR who = own)")
     marks = stored(spots.groupBy("tid").agg(
         F.collect_set(F.when(full, F.col("spot"))).alias("full"),
         F.collect_set(F.when(shows, F.struct("spot", (F.col("n") == 1).alias("asks")))).alias("open")), "marks")
