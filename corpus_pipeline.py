@@ -23,8 +23,10 @@ def _with_text(docs: DataFrame, text) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the lines that failed go from the others."""
-    judged = line_quality.judge_documents(docs.select(F.struct("*").alias("_row"), "text")).where("kept")
-    rows = judged.select("_row.*", F.col("clean_text").alias("_clean"))
+    judged = line_quality.judge_documents(docs.select(F.struct("*").alias("_row"), "text"))
+    # written first: a filter pushed into the rules would repeat their expressions
+    judged = stored(judged.select("_row", "clean_text", "kept"), "judged")
+    rows = judged.where("kept").select("_row.*", F.col("clean_text").alias("_clean"))
     return _with_text(rows, F.col("_clean")).select(*docs.columns)
 
 
