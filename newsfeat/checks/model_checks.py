@@ -61,7 +61,7 @@ def m1_random(spark, sf):
 @query("m5_adaboost")
 def m5(spark, sf):
     train, test = M.hash_split(training_rows(spark, sf), "_guid")
-    _, scored = M.fit_predict(M.AdaBoost(rounds=10), train, test, X_COLS, "is_significant")
+    _, scored = M.fit_predict(M.AdaBoost(), train, test, X_COLS, "is_significant")
     return scored.select("_guid", "is_significant", F.col("prediction").cast("int").alias("prediction"))
 
 
@@ -143,7 +143,7 @@ def m8_weighted(spark, sf):
 def m9(spark, sf):
     train, test = M.hash_split(training_rows(spark, sf), "_guid")
     result = M.cascade(train, test, M.estimators()["random_forest"], X_COLS)
-    return M.cascade_predictions(result, "_guid").select("_guid", "significance", "stage_1", "stage_2")
+    return M.cascade_predictions(result).select("_guid", "significance", "stage_1", "stage_2")
 
 
 @query("f9_predicted_significant", f"""WITH {LABELLED_SQL}, {GUESSES}
@@ -156,7 +156,7 @@ def f9(spark, sf):
 @query("m10_three_class")
 def m10(spark, sf):
     train, test = M.hash_split(training_rows(spark, sf), "_guid")
-    scored = M.three_class(train, test, M.estimators()["linear_svc"].setMaxIter(10), X_COLS)
+    scored = M.three_class(train, test, M.estimators()["linear_svc"], X_COLS)
     return scored.select("_guid", "significance", F.col("prediction").cast("int").alias("prediction"))
 
 

@@ -111,10 +111,10 @@ def n1_whole(spark, sf):
 
 
 @query("n2_title_sentiment",
-       f"WITH {WORDS_SQL}, {rule_sql('SELECT doc_id AS key, split_part(text, chr(10), 1)[:500] AS text FROM documents')}")
+       f"WITH {WORDS_SQL}, {rule_sql('SELECT doc_id AS key, split_part(text, chr(10), 1) AS text FROM documents')}")
 def n2(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
-    return scores(N.rule_sentiment(rows, "doc_id", "title", words(spark, sf), 500))
+    return scores(N.rule_sentiment(rows, "doc_id", "title", words(spark, sf), None))
 
 
 PLAIN = r"""

@@ -95,6 +95,7 @@ class Cascade:
     stage_2: Model
     first: DataFrame
     second: DataFrame
+    x_cols: list[str]
 
 
 def predicted_significant(df: DataFrame) -> DataFrame:
@@ -108,14 +109,16 @@ def cascade(train: DataFrame, test: DataFrame, estimator: Estimator, x_cols: lis
     stage_2, second = fit_predict(
         estimator, stored(seen, "cascade-train"), predicted_significant(first).drop("prediction"), x_cols,
         "is_very_significant")
-    return Cascade(stage_1, stage_2, first, second)
+    return Cascade(stage_1, stage_2, first, second, x_cols)
 
 
-def cascade_predictions(result: Cascade, key: str) -> DataFrame:
+def cascade_predictions(result: Cascade) -> DataFrame:
     """All test rows with stage_1 and stage_2 predictions; stage_2 is null where not reached."""
-    second = result.second.select(key, F.col("prediction").cast("int").alias("stage_2"))
+    # Stage 2 judges the rows of stage 1 in place, so a key that repeats multiplies nothing.
     first = result.first.withColumn("stage_1", F.col("prediction").cast("int")).drop("prediction")
-    return first.join(second, key, "left")
+    both = predict(result.stage_2, first, result.x_cols, "is_very_significant")
+    reached = F.when(F.col("stage_1") == 1, F.col("prediction").cast("int"))
+    return both.withColumn("stage_2", reached).drop("prediction")
 
 
 def three_class(train: DataFrame, test: DataFrame, estimator: Estimator, x_cols: list[str],

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsfeat.functions.features import add_field, binary_labels, count_feature, hour_of
 from newsfeat.operators.joins import drop_nulls, merge_on
 from newsfeat.operators.sentiment import rule_sentiment
+from newsfeat.session import stored
 
 # Counted columns of the labelled table, columns dropped from each feature
 # table, columns dropped from the result, and the length of text scored for sentiment.
@@ -28,14 +29,16 @@ def original_columns(labelled: DataFrame) -> DataFrame:
     return df
 
 
-def add_features(df: DataFrame, lexicon: DataFrame, key: str = "_guid", zone: str | None = None) -> DataFrame:
+def add_features(df: DataFrame, lexicon: DataFrame, zone: str | None = None) -> DataFrame:
     """Binary labels, hour of `date.time`, and sentiment of the body's first characters."""
     df = binary_labels(df)
     df = add_field(df, "date.time", "hour", lambda c: hour_of(c, zone))
-    scores = rule_sentiment(df.select(key, "body"), key, "body", lexicon, SENTIMENT_CHARACTERS)
+    # An article id may repeat: rows are scored by an id of their own, fixed by writing them.
+    df = stored(df.withColumn("__row", F.monotonically_increasing_id()), "features")
+    scores = rule_sentiment(df.select("__row", "body"), "__row", "body", lexicon, SENTIMENT_CHARACTERS)
     scores = scores.withColumnsRenamed({c: f"sentiment_{c}" for c in ("pos", "neg", "neu", "compound")})
     # Both sides have one row per key, so the join cannot be skewed.
-    return df.join(scores, key, "left")
+    return df.join(scores, "__row", "left").drop("__row")
 
 
 def training_table(tokens: DataFrame, labelled: DataFrame, bi_grams: DataFrame, topics: DataFrame,

@@ -50,9 +50,6 @@ BULK_FIELDS = ["scrollid", "maindocdate", "hiorgid", "i2", "if3", "sources", "su
 RATING_NAMES = {"Significance Rating": "Significance", "Significance Rating ": "Significance"}
 LABEL_SCHEMA = "array<struct<guid:struct<guid:string>,significance:string>>"
 
-# Usual bytes of a scan split, and the table size from which spreading over cores pays.
-SPLIT_BYTES, SPREAD_FROM = 128 * 1024 * 1024, 1024 * 1024
-
 _CORRUPT = "_corrupt_record"
 
 
@@ -60,7 +57,8 @@ _CORRUPT = "_corrupt_record"
 
 def xml_records(lines: DataFrame, column: str = "value") -> DataFrame:
     """Whole records out of text that was split at the closing record tag."""
-    start = F.locate(f"<{RECORD_TAG}", F.col(column))
+    # a wrapper's tag may begin alike: the name has to end there
+    start = F.regexp_instr(F.col(column), F.lit(rf"<{RECORD_TAG}(?=[\s>/])"))
     record = F.concat(F.substring(F.col(column), start, F.length(column)), F.lit(f"</{RECORD_TAG}>"))
     return lines.where(start > 0).select(record.alias("xml"))
 
@@ -299,16 +297,10 @@ def parse_labels(df: DataFrame, json_col: str = "json") -> DataFrame:
     return items.select("item.guid.guid", "item.significance", "pos")
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table. One of too few splits to keep every core busy is spread over them.
-
-    A table with more splits than cores is read as it lies, without any shuffle.
-    """
+def read_table(spark: SparkSession, path: str, spread: int | None = None) -> DataFrame:
+    """A Parquet table as it lies, or dealt over `spread` partitions when the caller asks for it."""
     df = spark.read.parquet(path)
-    fs, target = _file_system(spark, path)
-    cores = spark.sparkContext.defaultParallelism
-    few_splits = SPREAD_FROM < fs.getContentSummary(target).getLength() < cores * SPLIT_BYTES
-    return df.repartition(cores) if few_splits else df
+    return df.repartition(spread) if spread else df
 
 
 def select_columns(df: DataFrame, columns: list[str]) -> DataFrame:

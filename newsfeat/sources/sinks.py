@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsfeat.functions.cleaning import ascii_drop, sanitise
+from newsfeat.session import stored
 from newsfeat.sources.readers import ARTICLE_COLUMNS
 
 # Data rows per rolling file, and the columns of the feature subset.
@@ -69,7 +70,11 @@ def write_labels(df: DataFrame, path: str, sep: str = ",") -> None:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Replace the table at `path`; `df` may read that same table.
+
+    The rows are first written into the shared folder, so nothing is lost that they come from.
+    """
+    stored(df, "replacement").write.mode("overwrite").parquet(path)
 
 
 def append_table(df: DataFrame, path: str) -> None:

@@ -77,7 +77,7 @@ def test_boosting_beats_a_single_stump(rows):
 
 def test_cascade_scores_each_row_once(rows):
     result = M.cascade(rows, rows, M.estimators()["decision_tree"], X)
-    scored = M.points(M.cascade_predictions(result, "_guid"))
+    scored = M.points(M.cascade_predictions(result))
     assert scored.count() == 200
     assert scored.where("stage_1 = 0 AND stage_2 IS NOT NULL").count() == 0
     assert M.total_score(scored).first()["score"] == pytest.approx(10.0)

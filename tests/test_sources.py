@@ -177,3 +177,17 @@ def test_tables_are_replaced_or_appended(spark, tmp_path):
     K.replace_table(spark.range(2), path)
     K.append_table(spark.range(2), path)
     assert spark.read.parquet(path).count() == 4
+
+
+def test_replace_table_that_the_rows_come_from(spark, tmp_path):
+    path = str(tmp_path / "own")
+    K.replace_table(spark.range(5), path)
+    K.replace_table(spark.read.parquet(path).where("id > 1"), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_wrapper_tag_that_begins_like_a_record(spark):
+    lines = spark.createDataFrame(
+        [("<n-documents><n-document guid='1'><a/>",), ("<n-document guid='2'>",), ("</n-documents>",)], "value string")
+    got = sorted(r.xml for r in R.xml_records(lines).collect())
+    assert got == ["<n-document guid='1'><a/></n-document>", "<n-document guid='2'></n-document>"]
