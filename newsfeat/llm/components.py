@@ -37,3 +37,14 @@ def components(links: DataFrame) -> DataFrame:
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0)
     return labels
+
+
+def extend(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels of earlier links and of further ones: only the ends that are still apart are contracted."""
+    la, lb = labels.toDF("a", "la"), labels.toDF("b", "lb")
+    apart = links.select("a", "b").join(la, "a", "left").join(lb, "b", "left").select(
+        F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).where("a <> b").distinct()
+    fresh = components(apart)
+    moved = labels.join(fresh.toDF("label", "now"), "label", "left").select(
+        "node", F.coalesce("now", "label").alias("label"))
+    return stored(moved.unionByName(fresh.join(labels, "node", "left_anti")), "labels")

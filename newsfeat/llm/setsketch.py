@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsfeat.llm.components import components
+from newsfeat.llm.components import components, extend
 from newsfeat.session import ship_package, stored
 
 WORDS = 5
@@ -273,8 +273,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     labels = components(links)
     tried = pairs.select("a", "b")
     more = stored(_across(tried, labels).join(best, ["a", "b"], "left_anti").select("a", "b"), "more")
-    links = stored(links.unionByName(verify(more, sets)), "links")
-    labels = components(links)
+    labels = extend(labels, verify(more, sets))
     # at last all pairs of different parts of a bucket, where a bucket is still in several parts
     named = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     split = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
@@ -284,7 +283,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         f"a < b AND la <> lb AND 100 * least(na, nb) >= {LINK} * greatest(na, nb)").select("a", "b").distinct()
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(estimate(rest.join(known, ["a", "b"], "left_anti"), classes).select("a", "b"), "rest")
-    labels = components(links.unionByName(verify(rest, sets)))
+    labels = extend(labels, verify(rest, sets))
 
     by_class = classes.join(labels, "node", "left").select(
         "digest", "first", F.coalesce("label", "node").alias("label"))

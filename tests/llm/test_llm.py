@@ -152,6 +152,18 @@ def test_sketches_merge_and_estimate():
     assert abs(best - 3200 / 4800) < 0.1
 
 
+def test_components_extended_by_further_links(spark):
+    kind = "a long, b long"
+    labels = components.components(spark.createDataFrame([(1, 2), (3, 4), (8, 9)], kind))
+    more = spark.createDataFrame([(2, 4), (5, 6), (1, 2), (6, 9)], kind)
+    got = {r["node"]: r["label"] for r in components.extend(labels, more).collect()}
+    assert len({got[n] for n in (1, 2, 3, 4)}) == len({got[n] for n in (5, 6, 8, 9)}) == 1
+    assert got[1] != got[5] and len(got) == 8
+    none = spark.createDataFrame([], kind)
+    assert components.extend(components.components(none), none).count() == 0
+    assert components.extend(components.components(none), more).count() == 6
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7)]
     got = components.components(spark.createDataFrame(links, "a long, b long")).collect()
