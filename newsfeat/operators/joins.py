@@ -14,7 +14,7 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_ROWS = 1_000_000
 
-_SALT, _SLICES = "__salt", "__slices"
+_SALT, _SLICES, _ROWS = "__salt", "__slices", "__rows"
 
 
 def _width(field: T.StructField) -> Column:
@@ -66,19 +66,38 @@ def _spread(big: DataFrame, smalls: list[DataFrame], keys: list[str], spread: li
     return big, smalls
 
 
+def _join_counted(big: DataFrame, small: DataFrame, keys: list[str], how: str, hot_rows: int) -> DataFrame:
+    """Join a frame that has nothing but its keys: join each key once, then repeat it.
+
+    The repeats of a key are made in slices of `hot_rows` rows, dealt over the tasks.
+    """
+    joined = big.groupBy(*keys).agg(F.count("*").alias(_ROWS)).join(small, keys, how)
+    names = [F.col(f"`{c}`") for c in joined.columns if c != _ROWS]
+    last = F.ceil(F.col(_ROWS) / hot_rows).cast("int") - 1
+    slices = joined.withColumn(_SALT, F.explode(F.sequence(F.lit(0), last)))
+    rows = F.least(F.lit(hot_rows), F.col(_ROWS) - F.col(_SALT).cast("long") * hot_rows).cast("int")
+    # a stated number: adaptive execution would merge the slices, which are small until they are repeated
+    parts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = slices.withColumn(_ROWS, rows).repartition(parts, *keys, _SALT)
+    return dealt.withColumn(_ROWS, F.explode(F.sequence(F.lit(1), F.col(_ROWS)))).select(*names)
+
+
 def lookup_join(big: DataFrame, small: DataFrame, keys: str | list[str], how: str = "inner", *,
                 spread: list[str] | None = None, max_rows: int | None = None,
                 hot_rows: int = HOT_ROWS, small_fits: bool | None = None) -> DataFrame:
     """Join `big` with a lookup side on equal keys: inner, left, left_semi or left_anti.
 
     A side measured to be small is broadcast; any other goes through a shuffle join in
-    which hot keys of `big` are sliced. `small_fits` passes on an earlier measurement.
+    which hot keys of `big` are sliced; where `big` has only the keys, its equal rows are counted
+    and joined once. `small_fits` passes on an earlier measurement.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how in ("left_semi", "left_anti"):
         small = small.select(*keys)
     if fits(small, max_rows) if small_fits is None else small_fits:
         return big.join(F.broadcast(small), keys, how)
+    if not spread and set(big.columns) == set(keys):
+        return _join_counted(big, small, keys, how, hot_rows)
     big, (small,) = _spread(big, [small], keys, spread, hot_rows)
     return big.join(small, [*keys, _SALT], how).drop(_SALT)
 

@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from newsfeat.functions.tokens import STOP_WORDS, let
 from newsfeat.operators.corpus import ngram_table, token_table
-from newsfeat.operators.joins import first_match, lookup_join
-
-# Most terms of a wide table: its column names live in the plan, so they are bounded.
-MAX_WIDE_TERMS = 20_000
+from newsfeat.operators.joins import first_match, fits, lookup_join
 
 
 def tfidf_weight(tf: Column, df: Column, n: int | Column, exact: bool = False) -> Column:
@@ -49,15 +46,21 @@ def stored_counts(docs: DataFrame, records: DataFrame, kind: str = "token",
 
     The first record of a document wins; rows without one have no counts. `records` has
     sql_tbl_id, sql_id, t_counts and bg_counts; its order is that of `seq` if present,
-    else a fixed one by content.
+    else a fixed one by content. Records of other documents go first, and only `docs` is
+    measured: the nested counts are never computed for a measurement.
     """
+    ids = ["sql_tbl_id", "sql_id"]
+    small = fits(docs, max_rows)
+    wanted = docs.select(F.col("_data_source").alias("sql_tbl_id"), F.col("_id").alias("sql_id")).distinct()
+    records = lookup_join(records, wanted, ids, "left_semi", small_fits=small)
     array = "t_counts" if kind == "token" else "bg_counts"
     order = F.col("seq") if "seq" in records.columns else F.xxhash64(array)
     one = first_match(
         records.select("sql_tbl_id", "sql_id", order.alias("__order"), array),
-        ["sql_tbl_id", "sql_id"], F.col("__order"),
+        ids, F.col("__order"),
     ).select(F.col("sql_tbl_id").alias("_data_source"), F.col("sql_id").alias("_id"), array)
-    joined = lookup_join(docs, one, ["_data_source", "_id"], "inner", max_rows=max_rows)
+    keys = ["_data_source", "_id"]
+    joined = one.join(F.broadcast(docs), keys) if small else lookup_join(docs, one, keys, small_fits=False)
     kept = [F.col(f"`{c}`") for c in docs.columns]
     entry = joined.select(*kept, F.explode(array).alias("e"))
     term = F.col("e.t") if kind == "token" else F.concat_ws(".", "e.g1", "e.g2")
@@ -76,11 +79,14 @@ def observed_terms(weights: DataFrame) -> DataFrame:
 
 
 def term_list(vocabulary: DataFrame, max_terms: int | None = None) -> list[str]:
-    """Vocabulary terms in order, for column names; refuses vocabularies too wide for columns."""
-    limit = MAX_WIDE_TERMS if max_terms is None else max_terms
-    terms = [r["term"] for r in vocabulary.select("term").distinct().orderBy("term").limit(limit + 1).collect()]
-    if len(terms) > limit:
-        raise ValueError(f"more than {limit} terms: keep the long form or narrow the band")
+    """Vocabulary terms in order, for column names; more than `max_terms`, where given, are refused.
+
+    The names are part of the plan of a wide table, so the driver holds them; `vocabulary`
+    says why their number does not grow with the corpus.
+    """
+    terms = [r["term"] for r in vocabulary.select("term").distinct().orderBy("term").collect()]
+    if max_terms is not None and len(terms) > max_terms:
+        raise ValueError(f"more than {max_terms} terms: keep the long form or narrow the band")
     return terms
 
 
@@ -92,7 +98,7 @@ def dense_weights(weights: DataFrame, id_cols: list[str], terms: list[str]) -> D
     """
     spark = weights.sparkSession
     places = spark.createDataFrame([(t, i) for i, t in enumerate(terms)], "term string, place int")
-    placed = weights.join(F.broadcast(places), "term")  # at most MAX_WIDE_TERMS rows
+    placed = lookup_join(weights, places, "term")
     entries = F.sort_array(F.collect_list(F.struct("place", "tfidf")))
 
     def padded(s: Column) -> Column:

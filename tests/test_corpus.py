@@ -119,7 +119,16 @@ def test_term_columns_may_clash_with_others(spark):
     assert W.expand_columns(df, ["a.b", "title"]).columns == ["title", "a.b", "tfidf_title"]
 
 
-def test_wide_refuses_unbounded_vocabularies(spark):
+def test_wide_weights_of_many_terms(spark):
+    n = 25_000
+    vocabulary = spark.range(n).selectExpr("lpad(cast(id AS string), 5, '0') AS term")
+    terms = W.term_list(vocabulary)
+    weights = vocabulary.selectExpr("1 AS row_id", "term", "cast(term AS double) AS tfidf").where("cast(term AS int) % 7 = 0")
+    got = W.dense_weights(weights, ["row_id"], terms).first()["weights"]
+    assert got == [float(i) if i % 7 == 0 else 0.0 for i in range(n)]
+
+
+def test_term_list_refuses_more_than_asked(spark):
     vocabulary = spark.range(5).selectExpr("cast(id AS string) AS term")
     with pytest.raises(ValueError):
         W.term_list(vocabulary, 4)

@@ -30,6 +30,22 @@ def test_sliced_join_equals_plain_join(sides, how):
     assert sliced.columns == big.join(small, "k", how).columns
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_key_only_frames_keep_their_repeats(sides, how):
+    big, small = sides[0].select("k"), sides[1]
+    want = big.join(small, "k", how)
+    got = J.lookup_join(big, small, "k", how, max_rows=0, hot_rows=7)
+    assert rows(got) == rows(want) and got.columns == want.columns
+
+
+def test_repeats_of_a_key_are_dealt_in_slices(spark):
+    big = spark.range(1000).selectExpr("'hot' AS k")
+    small = spark.createDataFrame([("hot", 1)], "k string, w int")
+    plan = J.lookup_join(big, small, "k", max_rows=0, hot_rows=100)
+    assert plan.count() == 1000
+    assert plan.withColumn("p", F.spark_partition_id()).groupBy("p").count().agg(F.max("count")).first()[0] < 1000
+
+
 def test_slices_follow_the_size_of_the_key(sides):
     """40 hot rows make five slices of eight; the other keys stay whole, null keys scatter."""
     big, small = sides
