@@ -241,6 +241,39 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.where("coalesce(la, a) <> coalesce(lb, b)").drop("la", "lb")
 
 
+def private_counts(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, private: how many shingles of its set no other of the nodes has. Counts are combined before the shuffle."""
+    wanted = sets.join(nodes.select("node").distinct(), "node", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, cell in zip(batch.column("node").to_pylist(), batch.column("set")):
+                items = np.frombuffer(cell.as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(items), node, np.int64)), pa.array(items)], ["node", "item"])
+
+    items = wanted.select("node", "set").mapInArrow(run, "node long, item long")
+    alone = items.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    return alone.groupBy("node").agg(F.count("*").alias("private"))
+
+
+def _may_link(named: DataFrame, sets: DataFrame) -> DataFrame:
+    """Bucket members (bucket, node, label, n_shingles) with `spare`, without those no member can be linked with.
+
+    A link of a and b needs an intersection of LINK / (100 + LINK) * (na + nb) shingles, and neither
+    set has more to share than what is not private to it. With spare = (100 + LINK) * shared -
+    LINK * n that means spare(a) >= LINK * nb and spare(b) >= LINK * na. Where members have one
+    passage in common and texts of their own beside it, that empties the bucket in linear time.
+    """
+    shared = F.col("n_shingles") - F.coalesce("private", F.lit(0))
+    rows = named.join(private_counts(named, sets), "node", "left").withColumn(
+        "spare", (100 + LINK) * shared - LINK * F.col("n_shingles")).drop("private")
+    rows = stored(rows, "spare")
+    ends = rows.groupBy("bucket").agg(F.max("spare").alias("most"), F.min("n_shingles").alias("least"))
+    return stored(rows.join(ends, "bucket").where(
+        f"most >= {LINK} * n_shingles AND spare >= {LINK} * least").drop("most", "least"), "able")
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, n_shingles, component_id (smallest key connected), kept (key is that one).
 
@@ -278,9 +311,10 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     named = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     split = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
     named = stored(named.join(split.select("bucket"), "bucket").select("bucket", "node", "label", "n_shingles"), "split")
-    left = named.toDF("bucket", "a", "la", "na")
-    rest = left.join(named.toDF("bucket", "b", "lb", "nb"), "bucket").where(
-        f"a < b AND la <> lb AND 100 * least(na, nb) >= {LINK} * greatest(na, nb)").select("a", "b").distinct()
+    able = _may_link(named, sets).select("bucket", "node", "label", "n_shingles", "spare")
+    left = able.toDF("bucket", "a", "la", "na", "fa")
+    rest = left.join(able.toDF("bucket", "b", "lb", "nb", "fb"), "bucket").where(
+        f"a < b AND la <> lb AND fa >= {LINK} * nb AND fb >= {LINK} * na").select("a", "b").distinct()
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(estimate(rest.join(known, ["a", "b"], "left_anti"), classes).select("a", "b"), "rest")
     labels = extend(labels, verify(rest, sets))
