@@ -30,6 +30,8 @@ BANDS, ROWS = 50, 6
 REGISTERS = BANDS * ROWS
 #: A pair goes when its best likelihood beats the best with a link by e^18, six standard deviations.
 DOUBT = 18.0
+#: Hashes and registers, counted in eight bytes, of one block of a bucket's members.
+BLOCK = 65_536
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -194,6 +196,15 @@ def estimate(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long, est double")
 
 
+def linked_sets(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return 100 * both >= LINK * (len(x) + len(y) - both)
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of pairs (a, b) those whose full sets reach the similarity."""
     rows = pairs.select("a", "b").join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
@@ -202,12 +213,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             fine = []
             for i, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"))):
-                x, y = (np.frombuffer(c.as_py(), np.uint64) for c in (x, y))
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                if 100 * both >= LINK * (len(x) + len(y) - both):
+                if linked_sets(*(np.frombuffer(c.as_py(), np.uint64) for c in (x, y))):
                     fine.append(i)
             take = pa.array(fine, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("a").take(take), batch.column("b").take(take)], ["a", "b"])
@@ -274,6 +280,64 @@ def _may_link(named: DataFrame, sets: DataFrame) -> DataFrame:
         f"most >= {LINK} * n_shingles AND spare >= {LINK} * least").drop("most", "least"), "able")
 
 
+def links_across(able: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between members of a bucket with different labels; `able` has bucket, node, label, n_shingles, spare.
+
+    Of two such members one at least is outside the bucket's largest part. The outsiders and all
+    members are dealt into blocks of bounded size, and each pair of blocks is compared in place, so no
+    pair is written but the links. A pair that shares more buckets is looked at in its first only.
+    """
+    width = F.col("n_shingles") + REGISTERS // 4
+    parts = able.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum(width).alias("w"))
+    sizes = parts.groupBy("bucket").agg(
+        F.max_by(F.struct("label", "w"), F.struct("n", "label")).alias("main"), F.sum("w").alias("w")).select(
+        "bucket", F.col("main.label").alias("main"), F.ceil((F.col("w") - F.col("main.w")) / BLOCK).alias("outs"),
+        F.ceil(F.col("w") / BLOCK).alias("alls")).where("outs > 0")
+    rows = able.join(sizes, "bucket")
+    numbers = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    block = lambda n: F.pmod(F.xxhash64("node"), n)
+    inner = rows.select("*", block(F.col("alls")).alias("y"), F.explode(numbers(F.col("outs"))).alias("x"),
+                        F.lit(False).alias("asks"))
+    outer = rows.where("label <> main").select("*", F.explode(numbers(F.col("alls"))).alias("y"),
+                                               block(F.col("outs")).alias("x"), F.lit(True).alias("asks"))
+    slim = ["bucket", "x", "y", "asks", "node", "label", "n_shingles", "spare"]
+    dealt = inner.select(*slim).unionByName(outer.select(*slim)).join(
+        classes.select("node", "registers").join(sets, "node"), "node")
+    groups = dealt.groupBy("bucket", "x", "y").agg(F.collect_list(F.struct(
+        "asks", "node", "label", "n_shingles", "spare", "registers", "set")).alias("members"))
+
+    def compare(bucket: int, members: pa.StructArray) -> Iterator[tuple[int, int]]:
+        node, label, n, spare = (members.field(c).to_numpy() for c in ("node", "label", "n_shingles", "spare"))
+        asks = members.field("asks").to_numpy(zero_copy_only=False)
+        regs = np.frombuffer(b"".join(members.field("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        items = [np.frombuffer(c.as_py(), np.uint64) for c in members.field("set")]
+        inside = np.flatnonzero(~asks)
+        for o in np.flatnonzero(asks):
+            m = inside[(label[inside] != label[o]) & (spare[inside] >= LINK * n[o]) & (spare[o] >= LINK * n[inside])]
+            if not len(m):
+                continue
+            same = regs[m] == regs[o]
+            first = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            own = int(np.flatnonzero(band_keys(regs[o]) == bucket)[0])
+            m, same = m[first == own], same[first == own]
+            more, equal = (regs[m] > regs[o]).sum(axis=1), same.sum(axis=1)
+            counts = [x[:, None] for x in (more, REGISTERS - more - equal, equal)]
+            grid = log_likelihood(*counts, n[m][:, None].astype(float), np.float64(n[o]), _GRID[None, :])
+            linked = grid[:, _GRID >= LINK / 100 - 0.005].max(axis=1, initial=-np.inf)
+            for i in m[grid.max(axis=1, initial=-np.inf) - linked <= DOUBT]:
+                if linked_sets(items[o], items[i]):
+                    yield int(node[o]), int(node[i])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [pair for bucket, members in zip(batch.column("bucket").to_pylist(), batch.column("members"))
+                     for pair in compare(bucket, members.values)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return groups.select("bucket", "members").mapInArrow(run, "a long, b long")
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, n_shingles, component_id (smallest key connected), kept (key is that one).
 
@@ -307,17 +371,12 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     tried = pairs.select("a", "b")
     more = stored(_across(tried, labels).join(best, ["a", "b"], "left_anti").select("a", "b"), "more")
     labels = extend(labels, verify(more, sets))
-    # at last all pairs of different parts of a bucket, where a bucket is still in several parts
+    # at last the different parts of a bucket, where a bucket is still in several parts
     named = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     split = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
     named = stored(named.join(split.select("bucket"), "bucket").select("bucket", "node", "label", "n_shingles"), "split")
-    able = _may_link(named, sets).select("bucket", "node", "label", "n_shingles", "spare")
-    left = able.toDF("bucket", "a", "la", "na", "fa")
-    rest = left.join(able.toDF("bucket", "b", "lb", "nb", "fb"), "bucket").where(
-        f"a < b AND la <> lb AND fa >= {LINK} * nb AND fb >= {LINK} * na").select("a", "b").distinct()
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(estimate(rest.join(known, ["a", "b"], "left_anti"), classes).select("a", "b"), "rest")
-    labels = extend(labels, verify(rest, sets))
+    rest = stored(links_across(_may_link(named, sets), classes, sets), "rest")
+    labels = extend(labels, rest)
 
     by_class = classes.join(labels, "node", "left").select(
         "digest", "first", F.coalesce("label", "node").alias("label"))
