@@ -282,3 +282,21 @@ def test_token_table(docs, tmp_path):
     assert keys == sorted(keys, key=lambda k: (k is not None, k))
     seg = docs.sparkSession.read.parquet(out).first()
     assert len(token_blocks.read_document(seg.data, 0)) == token_blocks.open_segment(seg.data)[0][0]
+
+
+def test_links_across_many_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(setsketch, "BLOCK", 200)
+    rng = np.random.default_rng(3)
+    base = rng.integers(1, 2**63, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, 60 - k, replace=False),
+                                      rng.integers(1, 2**63, k, dtype=np.uint64)])) for k in range(12)]
+    regs = setsketch.registers(sets)
+    rows = [(i, int(b), 100 * len(x), len(x)) for i, x in enumerate(sets) for b in setsketch.band_keys(regs[i])]
+    able = spark.createDataFrame(rows, "node long, bucket long, spare long, n_shingles long").selectExpr(
+        "bucket", "node", "node AS label", "n_shingles", "spare")
+    classes = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(regs)], "node long, registers binary")
+    full = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "node long, set binary")
+    found = [tuple(sorted(r)) for r in setsketch.links_across(able, classes, full).collect()]
+    want = {(i, j) for j in range(12) for i in range(j)
+            if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
+    assert want and set(found) == want
