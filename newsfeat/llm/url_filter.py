@@ -124,29 +124,57 @@ def fit_url_model(labelled: DataFrame, volumes: dict[str, DataFrame], label: str
                   trees: int = 12, depth: int = 4, weight: float = 2.0) -> UrlModel:
     """Fit on labelled rows that have the lexical features; label 1 is block, 0 allow.
 
-    At most `max_rows` labelled rows are used, those with the smallest hash of the URL, so the
-    fit does not grow with the corpus. Both labels get the same total weight; suffix rates are
-    smoothed towards one half by `weight` rows. Without labelled rows everything is allowed; with one label only, that
+    Label balance and suffix rates count all labelled rows; rates are smoothed towards one half
+    by `weight` rows. Only the trees are fitted on a part: at most `max_rows` distinct URLs with
+    their row counts as weight, so the fit does not grow with the corpus. Both labels get the
+    same total weight. Without labelled rows everything is allowed; with one label only, that
     label is the answer.
     """
-    rows = stored(labelled.orderBy(F.xxhash64("url"), "url").limit(max_rows)
-                  .withColumn("label", F.col(label).cast("double")), "labelled")
-    size, base = rows.agg(F.count("*"), F.avg("label")).first()
-    base = base or 0.0
+    rows = labelled.select("url", *LEVELS, F.col(label).cast("double").alias("label"))
+    counts = stored(rows.groupBy(*LEVELS, "label").count(), "labelled-suffixes")
+    size, blocked = counts.agg(F.sum("count"), F.sum(F.col("label") * F.col("count"))).first()
+    base = blocked / size if size else 0.0
     if not size or base in (0.0, 1.0):
         return UrlModel(None, {}, base)
     # both labels weigh the same, so a suffix nobody labelled says nothing
-    rows = rows.withColumn("w", F.when(F.col("label") == 1, 0.5 / base).otherwise(0.5 / (1 - base)))
-    rates = {level: rows.groupBy(level).agg(
-        ((F.sum(F.col("label") * F.col("w")) + 0.5 * weight) / (F.sum("w") + weight)).alias(f"{level}_rate"))
+    counts = counts.withColumn(
+        "w", F.col("count") * F.when(F.col("label") == 1, 0.5 / base).otherwise(0.5 / (1 - base)))
+    rates = {level: stored(counts.groupBy(level).agg(
+        ((F.sum(F.col("label") * F.col("w")) + 0.5 * weight) / (F.sum("w") + weight)).alias(f"{level}_rate")), "rates")
         for level in LEVELS}
     model = UrlModel(None, rates, 0.5)
-    fit = _assembler().transform(model.features(rows, volumes)).select("url_features", "label", "w")
+    chosen = _fit_urls(rows, max_rows)
+    total = dict(chosen.groupBy("label").agg(F.sum("rows")).collect())
+    share = F.when(F.col("label") == 1, 0.5 / total[1.0]).otherwise(0.5 / total[0.0])
+    chosen = lexical_features(chosen).withColumn("w", F.col("rows") * share * sum(total.values()))
+    fit = _assembler().transform(model.features(chosen, volumes)).select("url_features", "label", "w")
     model.trees = GBTClassifier(featuresCol="url_features", labelCol="label", weightCol="w", maxIter=trees,
                                 maxDepth=depth, seed=7).fit(fit)
     return model
 
 
+def _fit_urls(rows: DataFrame, most: int) -> DataFrame:
+    """url, label, rows: the distinct URLs with the smallest hashes, both labels alike as far as they reach.
+
+    `rows` holds labels 0 and 1. The hash's first 12 bits are counted first, so the task that
+    sorts gets about as many URLs as it keeps.
+    """
+    urls = rows.groupBy("url", "label").agg(F.count("*").alias("rows"))
+    urls = stored(urls.withColumn("slot", F.shiftrightunsigned(F.xxhash64("url"), 52).cast("int")), "labelled-urls")
+    slots = sorted(urls.groupBy("label", "slot").count().collect())
+    sizes = {y: sum(n for label, _, n in slots if label == y) for y in (0.0, 1.0)}
+    picked = []
+    for y in (0.0, 1.0):
+        quota = max(1, most // 2, most - sizes[1.0 - y])
+        seen, until = 0, -1
+        for label, slot, n in slots:
+            if label == y and seen < quota:
+                seen, until = seen + n, slot
+        picked.append(urls.where((F.col("label") == y) & (F.col("slot") <= until))
+                      .orderBy("slot", F.xxhash64("url"), "url").limit(quota))
+    return stored(picked[0].unionByName(picked[1]).drop("slot"), "labelled")
+
+
 def filter_urls(pages: DataFrame, rules: dict[str, str], max_rows: int = 20_000) -> DataFrame:
     """Judge every url: the longest fitting rule, else the trees learnt from the rule-labelled rows.
 

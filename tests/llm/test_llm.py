@@ -300,3 +300,17 @@ def test_links_across_many_small_blocks(spark, monkeypatch):
     want = {(i, j) for j in range(12) for i in range(j)
             if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
     assert want and set(found) == want
+
+
+def test_url_statistics_beyond_the_fitted_rows(spark):
+    rows = [(f"http://s{i % 40}.example.org/p/{i}", i % 40 < 8) for i in range(400)] + [("http://many.org/", False)] * 500
+    df = url_filter.lexical_features(spark.createDataFrame(rows, "url string, bad boolean"))
+    df = df.withColumn("label", F.col("bad").cast("int"))
+    volumes = url_filter.suffix_volumes(df)
+    few, whole = (url_filter.fit_url_model(df, volumes, max_rows=n) for n in (40, 20_000))
+    for level in url_filter.LEVELS:
+        assert sorted(few.rates[level].collect()) == sorted(whole.rates[level].collect())
+    # copies of one URL are one row of the fit, and both labels are in it
+    chosen = url_filter._fit_urls(df.select("url", F.col("label").cast("double")), 40).collect()
+    assert len({r.url for r in chosen}) == 40 and sum(r.label for r in chosen) == 20
+    assert url_filter._fit_urls(df.select("url", F.col("label").cast("double")), 20_000).agg(F.sum("rows")).first()[0] == 900
