@@ -314,3 +314,16 @@ def test_url_statistics_beyond_the_fitted_rows(spark):
     chosen = url_filter._fit_urls(df.select("url", F.col("label").cast("double")), 40).collect()
     assert len({r.url for r in chosen}) == 40 and sum(r.label for r in chosen) == 20
     assert url_filter._fit_urls(df.select("url", F.col("label").cast("double")), 20_000).agg(F.sum("rows")).first()[0] == 900
+
+
+def test_separators_are_weighed_against_the_line(spark):
+    words = "these are the words of a long line of prose which goes on and on as such lines do "
+    prose = ["Le ministre a dit «bonjour à tous» avant de partir, puis «au revoir mes amis» en sortant de la salle.",
+             "Er sagte »guten Tag« und ging, dann sagte er »auf Wiedersehen« und blieb doch noch eine Weile sitzen.",
+             "El col·legi i la pel·lícula són paraules catalanes amb un punt volat.", words * 40 + "| x | " + words * 40]
+    menus = ["Home | About | Contact | Login", "News » Sports » Football", "• one • two • three", "About us|Our team|Jobs"]
+    df = spark.createDataFrame([(i, t, words + "\n" + t) for i, t in enumerate(prose + menus)], "doc_id int, text string, longer string")
+    bad = {r.doc_id: r.n_bad_lines for r in line_quality.judge_documents(df).collect()}
+    assert [bad[i] for i in range(8)] == [0] * 4 + [1] * 4
+    bad = {r.doc_id: r.n_bad_lines for r in line_quality.judge_documents(df, any_two_bars=True).collect()}
+    assert [bad[i] for i in range(8)] == [1] * 8
