@@ -10,7 +10,7 @@ from newsfeat.checks.fixtures import (ARTICLES_SQL, LABELLED_SQL, ORDER_TEXTS_SQ
 from newsfeat.checks.registry import query
 from newsfeat.functions.features import PATTERNS, pattern_columns
 from newsfeat.operators.joins import mark_split
-from newsfeat.session import scratch_path
+from newsfeat.session import scratch_path, stored
 from newsfeat.sources import readers as R
 from newsfeat.sources import sinks as K
 
@@ -121,13 +121,23 @@ def s3(spark, sf):
     return R.accepted(R.parse_json(texts.select("json")))
 
 
+def write_lists(rows, path, group_bytes=32 * 2**20):
+    """The `json` texts as files of one list each, of about `group_bytes`: more text makes more files, not larger ones."""
+    rows = stored(rows.select("json"), "json-rows")
+    total = rows.agg(F.sum(F.octet_length("json"))).first()[0] or 0
+    # by place, not by text: equal texts are spread too
+    place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
+    dealt = rows.select("json", F.pmod(place, F.lit(-(-total // group_bytes) or 1)).alias("file"))
+    lists = dealt.groupBy("file").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("json"), ","), F.lit("]")).alias("json"))
+    lists.select("json").write.option("maxRecordsPerFile", 1).text(path)
+
+
 @query("s3_json_files", JSON_SQL)
 def s3_files(spark, sf):
     """All articles as files of a list of objects each, read as a folder."""
     path = scratch_path(spark, "json")
-    rows = json_of(articles(spark, sf)).select("json", F.pmod(F.xxhash64("json"), F.lit(64)).alias("file"))
-    lists = rows.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("json"), ","), F.lit("]")).alias("json"))
-    lists.select("json").write.option("maxRecordsPerFile", 1).text(path)
+    write_lists(json_of(articles(spark, sf)), path)
     return R.read_json(spark, path)
 
 

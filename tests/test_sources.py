@@ -191,3 +191,16 @@ def test_wrapper_tag_that_begins_like_a_record(spark):
         [("<n-documents><n-document guid='1'><a/>",), ("<n-document guid='2'>",), ("</n-documents>",)], "value string")
     got = sorted(r.xml for r in R.xml_records(lines).collect())
     assert got == ["<n-document guid='1'><a/></n-document>", "<n-document guid='2'></n-document>"]
+
+
+def test_json_lists_of_bounded_size(spark, tmp_path):
+    """Five times the rows, all alike, make more files and not larger ones."""
+    from newsfeat.checks.source_checks import write_lists
+    largest, files = {}, {}
+    for n in (2000, 10_000):
+        path = tmp_path / str(n)
+        write_lists(spark.range(n).select(F.lit('{"data": "' + "x" * 86 + '"}').alias("json")), str(path), 10_000)
+        sizes = [f.stat().st_size for f in path.glob("part-*")]
+        largest[n], files[n] = max(sizes), len(sizes)
+        assert sum(len(json.loads(f.read_text())) for f in path.glob("part-*")) == n
+    assert max(largest.values()) < 20_000 and files[10_000] > 4 * files[2000]
