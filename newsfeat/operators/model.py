@@ -33,13 +33,16 @@ def random_split(df: DataFrame, share: float = 0.8, seed: int | None = None) ->
     return train, test
 
 
-def estimators() -> dict[str, Estimator]:
-    """The single-model classifiers, on columns `features` and `label`."""
+def estimators(forest_depth: int = 30) -> dict[str, Estimator]:
+    """The single-model classifiers, on columns `features` and `label`.
+
+    The original's forest has no depth limit; `forest_depth` is Spark's maximum unless the caller sets less.
+    """
     return {
         "gradient_boosting": GBTClassifier(maxIter=100, maxDepth=3, stepSize=0.1, seed=0),
         "logistic_regression": LogisticRegression(),
         "decision_tree": DecisionTreeClassifier(impurity="entropy", maxDepth=8, seed=0),
-        "random_forest": RandomForestClassifier(numTrees=10, maxDepth=10, seed=0),
+        "random_forest": RandomForestClassifier(numTrees=10, maxDepth=forest_depth, seed=0),
         "linear_svc": LinearSVC(maxIter=50, regParam=0.01),
     }
 

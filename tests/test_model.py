@@ -108,3 +108,13 @@ def test_points_table(spark):
              (1, 0, 1, 10), (1, 0, 0, 3), (1, 0, 2, 3)]
     df = spark.createDataFrame(cases, "stage_1 int, stage_2 int, significance int, want int")
     assert M.points(df).where("points <> want").count() == 0
+
+
+def test_forest_depth_is_a_parameter(spark):
+    assert M.estimators()["random_forest"].getMaxDepth() == 30
+    assert M.estimators(forest_depth=4)["random_forest"].getMaxDepth() == 4
+    # 12 nested steps need more than ten levels
+    df = spark.createDataFrame([(float(i), float(i % 2)) for i in range(3000)], "x double, label double")
+    df = M.assemble(df.select("x", F.floor(F.log2(F.col("x") + 1)).alias("y"), "label"), ["x", "y"], "label")
+    deep = M.estimators()["random_forest"].copy().setMaxBins(3000).setNumTrees(1).fit(df)
+    assert deep.trees[0].depth > 10
