@@ -30,6 +30,20 @@ MORE_KINDS = (
 KINDS = (*BASE_KINDS, *MORE_KINDS)
 BASE = len(BASE_KINDS)
 
+PEM_NAME = "[A-Z0-9\\x20]*PRIVATE KEY-----"
+#: From BEGIN through END: header lines, then the body (the value), in which CR, blanks, escaped line feeds, quotes and
+#: line prefixes may stand. No dash stands in a body, so a match never runs into another key. Without
+#: an END the body ends with its last base64 line.
+PEM = (r"-----BEGIN " + PEM_NAME
+       + r"""(?:[\s\\nrt"',>#*|+]*+[A-Z][A-Za-z0-9-]{1,40}:\x20?[^\s\\]*+){0,8}"""
+       + r"""([\s\\nrt"',>#*|+]*+[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=\s\\"',>#*|]*+(?=-----END """ + PEM_NAME + r""")"""
+       + r"""|[A-Za-z0-9+/=\r\n\\]*+(?:[\x20\x09]+[A-Za-z0-9+/=]{32,}[A-Za-z0-9+/=\r\n\\]*+){0,400})"""
+       + r"""(?:-----END """ + PEM_NAME + r""")?""")
+LOGIN = r"[a-z]{2,9}://[A-Za-z0-9_.-]{1,64}:([^\x20\x09-\x0D:/@]{3,})@"
+#: What the scan looks for. KINDS stays as the SQL has it: there a key ends at its first other character.
+SCANNED = tuple({"pem": ("pem", PEM, 1, 3), "login": ("login", LOGIN, 1, 3)}.get(kind[0], kind) for kind in KINDS)
+PEM_NO = [kind for kind, *_ in KINDS].index("pem")
+
 
 def _finds(text: Column, pattern: str, group: int) -> Column:
     """[(characters since the last match, characters of the match, value)], in order."""
@@ -43,20 +57,27 @@ def _finds(text: Column, pattern: str, group: int) -> Column:
         F.array().cast("array<struct<gap:int,size:int,value:string>>"))
 
 
+def _key_body(value: Column) -> Column:
+    """The base64 characters of a key's body, so that line ends, indents and escapes make no other key of it."""
+    return F.regexp_replace(F.regexp_replace(value, r"\\+[nrt]", ""), "[^A-Za-z0-9+/=]", "")
+
+
 def find_candidates(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, DataFrame]:
     """Two stored tables: rows (rid, `keep` columns), and finds (rid, kind_no, value, start, end).
 
     Offsets are code points, the end exclusive. Each kind's matches are leftmost and do not overlap.
+    The value of a private key is its body without white space; a header without a body is no find.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    found = F.array(*[_finds(whole, pattern, group) for _, pattern, group, _ in KINDS])
+    found = F.array(*[_finds(whole, pattern, group) for _, pattern, group, _ in SCANNED])
     rows = stored(docs.select(F.monotonically_increasing_id().alias("rid"), *keep, found.alias("found")), "secrets")
     kinds = rows.where("exists(found, f -> size(f) > 0)").select("rid", F.posexplode("found").alias("kind_no", "hits"))
     hits = kinds.select("rid", "kind_no", F.posexplode("hits").alias("pos", "hit")).select(
         "rid", "kind_no", "pos", "hit.*")
     until = Window.partitionBy("rid", "kind_no").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     hits = hits.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(until))
-    least = F.element_at(F.array(*[F.lit(n) for _, _, _, n in KINDS]), F.col("kind_no") + 1)
+    hits = hits.withColumn("value", F.when(F.col("kind_no") == PEM_NO, _key_body(F.col("value"))).otherwise(F.col("value")))
+    least = F.element_at(F.array(*[F.lit(n) for _, _, _, n in SCANNED]), F.col("kind_no") + 1)
     hits = hits.where(F.length("value") >= least).select(
         "rid", "kind_no", "value", (F.col("end") - F.col("size")).alias("start"), "end")
     return rows.drop("found"), hits

@@ -327,3 +327,36 @@ def test_separators_are_weighed_against_the_line(spark):
     assert [bad[i] for i in range(8)] == [0] * 4 + [1] * 4
     bad = {r.doc_id: r.n_bad_lines for r in line_quality.judge_documents(df, any_two_bars=True).collect()}
     assert [bad[i] for i in range(8)] == [1] * 8
+
+
+def test_private_keys_in_all_their_spellings(spark):
+    random.seed(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    body = lambda: ["".join(random.choices(letters, k=64)) for _ in range(3)] + ["abcd=="]
+    head, tail = "-----BEGIN {}PRIVATE KEY-----", "-----END {}PRIVATE KEY-----"
+
+    def spelled(how, name, lines):
+        whole = [head.format(name), *lines, tail.format(name)]
+        if how == "encrypted":
+            whole[1:1] = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF", ""]
+        ends = {"crlf": "\r\n", "json": "\\n", "twice": "\\\\n", "indented": "\n    ", "encrypted": "\n", "plain": "\n"}
+        return ends[how].join(whole)
+
+    keys = [spelled(how, name, body()) for how in ("crlf", "json", "twice", "indented", "encrypted", "plain")
+            for name in ("", "RSA ", "EC ") for _ in range(3)]
+    same = body()
+    copied = [spelled(how, "", same) for how in ("crlf", "json", "indented")]
+    cut = head.format("") + "\r\n" + "\r\n".join(body())
+    login = "see ftp://me:" + "x" * 90 + "@host"
+    plain = head.format("RSA ") + " opens a key, and -----END RSA PRIVATE KEY----- ends it."
+    texts = [f"é key: {k} and prose" for k in keys] + copied + [cut + " and prose", login, plain, "a" * 9 + keys[0] + "\n" + keys[1]]
+    df = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id int, text string, source string")
+    out = secret_scan.scan_secrets(df, carry=["doc_id"])
+    red = {x.doc_id: x.t for x in df.join(out, "doc_id").select(
+        "doc_id", secret_scan.redacted(F.col("text"), F.col("secrets")).alias("t")).collect()}
+    n = len(keys)
+    assert {red[i] for i in range(n)} == {"é key: [secret] and prose"}
+    # one key with three owners is an example however it is spelled
+    assert [red[n + i] for i in range(3)] == copied
+    assert red[n + 3] == "[secret] and prose" and red[n + 4] == "see [secret]host" and red[n + 5] == plain
+    assert red[n + 6] == "a" * 9 + "[secret]\n[secret]"
