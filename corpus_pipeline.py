@@ -36,9 +36,15 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest doc_id."""
-    gone = setsketch.near_groups(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(stored(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near-duplicates stays, the one with the smallest doc_id; null is the largest.
+
+    doc_id may be null or repeat, so a row is told by doc_id and text together; equal texts went before.
+    """
+    sha = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    rows = docs.withColumn("_row", F.struct(
+        F.col("doc_id").isNull().alias("blank"), F.col("doc_id").alias("id"), sha.alias("sha")))
+    gone = setsketch.near_groups(rows, "_row").where("NOT kept").select("_row").distinct()
+    return rows.join(stored(gone, "gone"), "_row", "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,3 +28,11 @@ def test_stages(spark):
     for r in corpus_pipeline.pack(spark, docs, "").collect():
         ids = plain.encode(texts[r.doc_id], add_special_tokens=False).ids + [1]
         assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start:r.start + r.length], "<u4").tobytes())
+
+
+def test_near_copies_under_repeated_and_null_ids(spark):
+    text = lambda i: " ".join(f"word{i} is number{k} of prose{i + k}" for k in range(16))
+    rows = [(1, text(1)), (2, text(2)), (2, text(1) + " tonight"), (None, text(1) + " today"), (None, text(3)), (3, text(3) + " now")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [tuple(r) for r in corpus_pipeline.near(spark, docs, "").collect()]
+    assert sorted(out, key=str) == sorted([rows[0], rows[1], rows[5]], key=str)
