@@ -103,4 +103,30 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first_id <> page_id THEN first_id END AS refers_to
 FROM f"""
 
-ORACLES = {"op2_refine_dedup": EQUAL, "op3_warc_captures": CAPTURES, "op4_line_quality": QUALITY, "op6_secret_scan": SECRETS}
+AUDIT = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+u AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM u GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+c AS (SELECT u.lang, source, term, count(*) AS c FROM u JOIN k USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, sum(total) AS n, count(*) AS v FROM k GROUP BY ALL),
+g AS (SELECT lang, source, CAST(coalesce(sum(c), 0) AS HUGEINT) + coalesce(any_value(v), 0) AS whole
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) LEFT JOIN l USING (lang) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, total, coalesce(c, 0) AS c,
+    1 + CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 1) // whole AS p
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item,
+    coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // y.p) FROM p x JOIN p y USING (lang, term)
+      WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+q AS (SELECT lang, source, term AS item, p, 1 + CAST(1000000000 AS HUGEINT) * (total + 1) // (n + v) AS q
+  FROM p JOIN l USING (lang) WHERE c > 0),
+r AS (SELECT 'pair' AS part, lang, source, item, value FROM pairs
+  UNION ALL SELECT 'term', lang, source, item, (p - q) * (p - q) // q FROM q WHERE p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 200"""
+
+ORACLES = {"op2_refine_dedup": EQUAL, "op3_warc_captures": CAPTURES, "op4_line_quality": QUALITY, "op6_secret_scan": SECRETS,
+           "op13_source_audit": AUDIT}
