@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsfeat.llm import (
-    line_quality, packing, phrase_parse, refine_dedup, secret_scan, setsketch, source_audit, sql, stream_bpe, token_blocks,
+    collocations, line_quality, packing, phrase_parse, refine_dedup, secret_scan, setsketch, source_audit, sql, stream_bpe, token_blocks,
     url_filter, warc)
 from newsfeat.llm.common import table
 from newsfeat.session import scratch_path
@@ -85,6 +85,10 @@ def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.tokens_of(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit_sources(table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
@@ -100,6 +104,7 @@ QUERIES = {
     "op8_phrase_parse": op8_phrase_parse,
     "op9_stream_bpe": op9_stream_bpe,
     "op10_token_blocks": op10_token_blocks,
+    "op12_collocations": op12_collocations,
     "op13_source_audit": op13_source_audit,
 }
 ORACLES = {name: text for name, text in sql.ORACLES.items() if name in QUERIES}

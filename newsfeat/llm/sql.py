@@ -103,6 +103,30 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first_id <> page_id THEN first_id END AS refers_to
 FROM f"""
 
+COLLOCATIONS = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+s AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM s),
+t AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM p, range(1, 6) AS sizes(k) WHERE len(w) >= k),
+f AS (SELECT lang, k AS words, phrase, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1),
+inner_parts AS (SELECT lang, a, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM c, range(2, 5) AS sizes(k), range(1, 5) AS places(i) WHERE k < words AND i + k - 1 <= words),
+hidden AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN inner_parts i ON c.lang = i.lang AND c.phrase = i.phrase
+  WHERE 100 * i.a >= 100 * c.a),
+cuts AS (SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n, 1000 * a * n // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM c ANTI JOIN hidden USING (lang, phrase)) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+  JOIN t ON t.lang = c.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank, phrase,
+  CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM best QUALIFY rank <= 2000"""
+
 AUDIT = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -129,4 +153,4 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
 FROM r QUALIFY part = 'pair' OR rank <= 200"""
 
 ORACLES = {"op2_refine_dedup": EQUAL, "op3_warc_captures": CAPTURES, "op4_line_quality": QUALITY, "op6_secret_scan": SECRETS,
-           "op13_source_audit": AUDIT}
+           "op12_collocations": COLLOCATIONS, "op13_source_audit": AUDIT}
