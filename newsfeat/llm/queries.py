@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from newsfeat.llm import (
     collocations, line_quality, packing, phrase_parse, refine_dedup, secret_scan, setsketch, source_audit, sql, stream_bpe, token_blocks,
-    url_filter, warc)
+    trie_join, url_filter, warc)
 from newsfeat.llm.common import table
 from newsfeat.session import scratch_path
 
@@ -85,6 +85,10 @@ def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.tokens_of(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_join.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
 
@@ -104,6 +108,7 @@ QUERIES = {
     "op8_phrase_parse": op8_phrase_parse,
     "op9_stream_bpe": op9_stream_bpe,
     "op10_token_blocks": op10_token_blocks,
+    "op11_trie_join": op11_trie_join,
     "op12_collocations": op12_collocations,
     "op13_source_audit": op13_source_audit,
 }

@@ -70,8 +70,8 @@ class _Powers:
 _powers = _Powers()
 
 
-def shingles(text: str) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the five-word shingles; A-Z are lower-cased; none without words."""
+def shingles(text: str, words_each: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of so many words, up to five; A-Z are lower-cased; none without words."""
     data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
     blank = np.concatenate([[True], _SPACE[data], [True]])
     edge = np.flatnonzero(blank[1:] != blank[:-1])
@@ -82,7 +82,7 @@ def shingles(text: str) -> np.ndarray:
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * _powers.up[:len(data)], out=total[1:])
     words = mix((total[ends] - total[starts]) * _powers.down[starts] + (ends - starts).astype(np.uint64))
-    k = min(WORDS, len(words))
+    k = min(words_each, len(words))
     rows = len(words) - k + 1
     out = np.full(rows, np.uint64(k))
     for i in range(k):
