@@ -28,11 +28,11 @@ WEIGHT = "(1 + ln(tf)) * ln(1 + {n} // df)"
 
 
 def token_vocabulary(d):
-    return stored(C.vocabulary(C.token_table(d, ["doc_id"], stem=False), d), "token-vocabulary")
+    return stored(C.band_vocabulary(d, stem=False), "token-vocabulary")
 
 
 def bi_gram_term_vocabulary(d):
-    return stored(C.vocabulary(C.ngram_table(d, ["doc_id"], stem=False), d), "bi-gram-vocabulary")
+    return stored(C.band_vocabulary(d, n=2, stem=False), "bi-gram-vocabulary")
 
 
 @query("t1_tokenize", f"SELECT doc_id, array_to_string({tokens_sql('text')}, ' ') AS tokens FROM documents")
@@ -197,14 +197,12 @@ def a10(spark, sf):
 
 @query("f3_bi_gram_band", f"{DOCS}, {VOCAB_SQL} SELECT term, df FROM bg_vocab")
 def f3(spark, sf):
-    d = docs(spark, sf)
-    return C.vocabulary(C.ngram_table(d, ["doc_id"], stem=False), d)
+    return C.band_vocabulary(docs(spark, sf), n=2, stem=False)
 
 
 @query("f4_token_band", f"{DOCS}, {VOCAB_SQL} SELECT term, df FROM vocab")
 def f4(spark, sf):
-    d = docs(spark, sf)
-    return C.vocabulary(C.token_table(d, ["doc_id"], stem=False), d)
+    return C.band_vocabulary(docs(spark, sf), stem=False)
 
 
 @query("f5_min_count", f"{DOCS} SELECT g1, g2, count(*) AS df FROM bg_counts GROUP BY ALL HAVING count(*) >= 5")

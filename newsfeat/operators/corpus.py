@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +23,9 @@ BI_GRAM_CORPUS_SIZE = 4255 + 42735 + 31393 + 99681
 BAND_LOW, BAND_HIGH = 0.01, 0.7
 MIN_COUNT = 5
 
+# A part of a band search ends at so many documents or at so many terms, whichever comes first.
+PART_DOCUMENTS, PART_TERMS = 50_000, 2_000_000
+
 
 def not_labelled(articles: DataFrame, labelled: DataFrame, article_id: str, labelled_id: str,
                  max_rows: int | None = None) -> DataFrame:
@@ -155,6 +161,68 @@ def vocabulary(counts: DataFrame, docs: DataFrame | None = None, n: int | Column
     return band(document_frequency(counts, ["term"]), n, low, high)
 
 
+def distinct_terms(docs: DataFrame, text: str = "body", n: int = 1, stem: bool = True,
+                   stop_words: list[str] = STOP_WORDS) -> DataFrame:
+    """`terms`: the distinct tokens (n=1) or n-grams of each document with a text."""
+    tokens = tokens_of(F.col(text), stem, stop_words)
+    terms = tokens if n == 1 else ngrams(tokens, n)
+    return with_text(docs, text).select(F.array_distinct(terms).alias("terms"))
+
+
+def local_candidates(terms: DataFrame, share: float, documents: int | None = None,
+                     most_terms: int | None = None) -> DataFrame:
+    """`term`: those that some part of the documents holds in at least `share` of its own documents.
+
+    A part is a run of documents in one task, so nothing is shuffled and a task holds the terms of one part.
+    A term in a share of all documents is in that share of at least one part, however they are cut.
+    """
+    documents, most_terms = documents or PART_DOCUMENTS, most_terms or PART_TERMS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, size = [], 0, 0
+
+        def often() -> pa.RecordBatch:
+            counted = pc.value_counts(pa.chunked_array(held))
+            # the least below it, as the product may round up
+            keep = pc.greater_equal(counted.field("counts"), share * rows * (1 - 1e-9))
+            return pa.RecordBatch.from_arrays([counted.field("values").filter(keep)], ["term"])
+
+        for batch in batches:
+            lists = batch.column(0)
+            at = 0
+            while at < len(lists):
+                some = lists.slice(at, documents - rows)
+                ends = pc.cumulative_sum(pc.list_value_length(some)).to_numpy()
+                some = some.slice(0, max(1, int((ends + size <= most_terms).sum())))
+                at += len(some)
+                held.append(some.flatten())
+                rows, size = rows + len(some), size + len(held[-1])
+                if rows >= documents or size >= most_terms:
+                    yield often()
+                    held, rows, size = [], 0, 0
+        if held:
+            yield often()
+
+    return terms.select("terms").mapInArrow(run, "term string").where("term IS NOT NULL")
+
+
+def band_vocabulary(docs: DataFrame, text: str = "body", n: int = 1, stem: bool = True,
+                    stop_words: list[str] = STOP_WORDS, size: int | None = None, low: float = BAND_LOW,
+                    high: float = BAND_HIGH, documents: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """term, df of tokens (n=1) or n-grams inside the band, exact, in two passes over stored term lists.
+
+    The first pass names the terms that reach the band in some part of the documents, the second counts only these:
+    no term below the band in every part is shuffled. `size` stands for the number of documents, where given.
+    """
+    terms = stored(distinct_terms(docs, text, n, stem, stop_words), "terms")
+    whole = docs.count() if size is None else size
+    # of the documents with a text, as parts are made of these
+    share = low * whole / max(1, terms.count())
+    candidates = stored(local_candidates(terms, share, documents).distinct(), "candidates")
+    found = lookup_join(terms.select(F.explode("terms").alias("term")), candidates, "term", max_rows=max_rows)
+    return band(document_frequency(found, ["term"]), whole, low, high)
+
+
 def vocabulary_union(*vocabularies: DataFrame) -> DataFrame:
     """Distinct terms of several vocabularies."""
     return reduce(DataFrame.union, [v.select("term") for v in vocabularies]).distinct()
