@@ -118,6 +118,15 @@ def packed(terms):
         e["t"], F.lit(":"), F.round(e["w"] * 1000).cast("bigint"))), " ").alias("weights")
 
 
+def packed_rows(wide, key, places, name="weights", only=None):
+    """key and the sparse weights as one text of non-zero terms, for comparison; rows without any term are left out."""
+    cells = W.long_form(wide, [key], places).withColumn("w", F.round("tfidf", 3)).where("w > 0")
+    cells = cells.where(only) if only else cells
+    cell = F.concat("term", F.lit(":"), F.round(F.col("w") * 1000).cast("bigint"))
+    ordered = F.sort_array(F.collect_list(F.struct("term", cell.alias("cell"))))
+    return cells.groupBy(key).agg(F.array_join(ordered["cell"], " ").alias(name))
+
+
 def from_columns(wide, terms):
     """Named term columns as a `weights` array again."""
     return wide.selectExpr(*[f"`{c}`" for c in wide.columns if c not in terms],
@@ -141,6 +150,23 @@ def a12(spark, sf):
     return wide.select("doc_id", packed(terms))
 
 
+@query("w5_combined_wide", f"""{DOCS}, {VOCAB_SQL},
+c AS (SELECT doc_id, g1 || '.' || g2 AS term, c AS tf FROM bg_counts)
+SELECT doc_id, term, round({WEIGHT.format(n=N_TOKENS)}, 6) AS tfidf FROM tok_counts JOIN vocab USING (term)
+UNION ALL SELECT doc_id, term, round({WEIGHT.format(n=N_GRAMS)}, 6) FROM c JOIN bg_vocab USING (term)
+UNION ALL SELECT doc_id, NULL, NULL FROM docs""")
+def w5_wide(spark, sf):
+    """One sparse row per document, opened into its terms; a row without term for every document shows that none is lost."""
+    d = docs(spark, sf)
+    tokens, grams = token_vocabulary(d), bi_gram_term_vocabulary(d)
+    places = W.term_places(tokens, grams)
+    weights = W.combined_weights(d, ["doc_id"], tokens, N_TOKENS, grams, N_GRAMS, stem=False)
+    wide = stored(W.sparse_for(d.select("doc_id"), weights, "doc_id", places), "wide")
+    terms = W.long_form(wide, ["doc_id"], places).withColumn("tfidf", F.round("tfidf", 6))
+    return terms.unionByName(wide.select("doc_id", F.lit(None).cast("string").alias("term"),
+                                         F.lit(None).cast("double").alias("tfidf")))
+
+
 LABELLED_DOCS = f"WITH {DOCS_SQL}, {token_ctes()}, {VOCAB_SQL}, {LABELLED_SQL}, {TEST_IDS_SQL}"
 
 
@@ -149,9 +175,11 @@ SELECT _guid, significance, title, CASE WHEN _guid IN (SELECT id FROM test_ids)
   coalesce(weights, '') AS weights FROM labelled LEFT JOIN packed ON _id = doc_id""")
 def l6(spark, sf):
     d = docs(spark, sf)
-    rows, terms = exports.token_weights(labelled(spark, sf), C.nested_counts(d, stem=False), token_vocabulary(d),
-                                        test_ids(spark, sf))
-    return rows.select("_guid", "significance", "title", "split", packed(terms))
+    rows, places = exports.token_weights(labelled(spark, sf), C.nested_counts(d, stem=False), token_vocabulary(d),
+                                         test_ids(spark, sf))
+    rows = stored(rows, "token-export")
+    kept = rows.select("_guid", "significance", "title", "split").join(packed_rows(rows, "_guid", places), "_guid", "left")
+    return kept.fillna("", ["weights"])
 
 
 @query("l7_bi_gram_export", f"""{LABELLED_DOCS},
@@ -264,9 +292,12 @@ plain AS (SELECT guid, "journal code" AS "journal.code", "story date" AS "date.t
   FROM articles JOIN body_rows ON guid = body_rows.doc_id)
 SELECT guid, "journal.code", "date.time", "organizations.codes", "topics.codes", "story.title", "story.body", {columns},
   pos AS sentiment_pos, neg AS sentiment_neg, neu AS sentiment_neu, compound AS sentiment_compound,
-  coalesce(token_weight, 0.0) AS token_weight, coalesce(gram_weight, 0.0) AS gram_weight
+  coalesce(token_weight, 0.0) AS token_weight, coalesce(gram_weight, 0.0) AS gram_weight,
+  coalesce(token_packed.weights, '') AS token_terms, coalesce(gram_packed.weights, '') AS gram_terms
 FROM plain JOIN sentiments ON guid = key LEFT JOIN weighted ON guid = weighted.doc_id
-LEFT JOIN gram_weighted ON guid = gram_weighted.doc_id"""
+LEFT JOIN gram_weighted ON guid = gram_weighted.doc_id
+LEFT JOIN ({packed_sql('scored_counts', 'vocab', N_TOKENS)}) token_packed ON guid = token_packed.doc_id
+LEFT JOIN ({packed_sql('scored_grams', 'bg_vocab', N_GRAMS)}) gram_packed ON guid = gram_packed.doc_id"""
 
 
 def _tokens(text: str) -> str:
@@ -277,18 +308,23 @@ def _tokens(text: str) -> str:
 
 @query("l1_score_news", _score_sql())
 def l1(spark, sf):
-    """All features of new articles; the weights are summed per kind to be compared."""
+    """All features of new articles, with the weights per term and their sums per kind."""
     d = docs(spark, sf)
     tokens, grams = token_vocabulary(d), bi_gram_term_vocabulary(d)
-    scored, terms = scoring.score_weights(articles(spark, sf), tokens, grams, words(spark, sf), stem=False)
+    scored, places = scoring.score_weights(articles(spark, sf), tokens, grams, words(spark, sf), stem=False)
+    scored = stored(scored, "scored")
     fixed = ["guid", "journal.code", "date.time", "organizations.codes", "topics.codes", "story.title", "story.body",
              *SCORED, "sentiment_pos", "sentiment_neg", "sentiment_neu", "sentiment_compound"]
-    n = len(W.term_list(tokens))
+    cells = F.arrays_zip(F.col("weights.indices").alias("place"), F.col("weights.values").alias("value"))
+    n = tokens.count()
 
-    def total(first, count):
-        part = F.slice("weights", F.lit(first + 1), F.lit(count))
-        return F.round(F.aggregate(part, F.lit(0.0), lambda a, x: a + x), 4)
+    def total(low, high):
+        part = F.filter(cells, lambda e: (e["place"] >= low) & (e["place"] < high))
+        return F.round(F.aggregate(part, F.lit(0.0), lambda a, e: a + e["value"]), 4)
 
     rounded = [F.round(F.col(f"`{c}`"), 6).alias(c) if c in PATTERNS or c in TRAINING_STATS else
                F.col(f"`{c}`").cast("bigint").alias(c) if c in SCORED else F.col(f"`{c}`") for c in fixed]
-    return scored.select(*rounded, total(0, n).alias("token_weight"), total(n, len(terms) - n).alias("gram_weight"))
+    out = scored.select(*rounded, total(0, n).alias("token_weight"), total(n, 2**31 - 1).alias("gram_weight"))
+    for name, only in (("token_terms", "term NOT LIKE '%.%'"), ("gram_terms", "term LIKE '%.%'")):
+        out = out.join(packed_rows(scored, "guid", places, name, only), "guid", "left").fillna("", [name])
+    return out

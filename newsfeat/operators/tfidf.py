@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from newsfeat.functions.tokens import STOP_WORDS, let
-from newsfeat.operators.corpus import ngram_table, token_table
+from newsfeat.functions.tokens import STOP_WORDS, count_terms, let, ngrams
+from newsfeat.operators.corpus import dense_ids, ngram_table, token_table, tokens_of, with_text
 from newsfeat.operators.joins import first_match, fits, lookup_join
+from newsfeat.session import scratch_path, stored
+
+#: So many named terms of a sparse row are looked up one by one; more are read off the spread-out row.
+FEW_TERMS = 64
 
 
 def tfidf_weight(tf: Column, df: Column, n: int | Column, exact: bool = False) -> Column:
@@ -40,6 +48,21 @@ def tfidf_from_text(docs: DataFrame, id_cols: list[str], vocabulary: DataFrame,
     return tfidf(counts, vocabulary, n, exact, max_rows)
 
 
+def combined_weights(docs: DataFrame, id_cols: list[str], tokens: DataFrame, n_tokens: int | Column, bi_grams: DataFrame,
+                     n_bi_grams: int | Column, text: str = "body", exact: bool = False, stem: bool = True,
+                     stop_words: list[str] = STOP_WORDS, max_rows: int | None = None) -> DataFrame:
+    """Weights of tokens and bi-grams of the raw text, tokenised once; a bi-gram's point tells it from a token."""
+    known = with_text(docs, text).select(*id_cols, tokens_of(F.col(text), stem, stop_words).alias("tokens"))
+    counts = known.select(*id_cols, F.inline(F.concat(
+        count_terms(F.col("tokens")), count_terms(ngrams(F.col("tokens"), 2)))))
+    # n goes into the projection and not into the looked-up table, which is measured
+    both = tokens.select("term", "df", F.lit(False).alias("gram")).unionByName(
+        bi_grams.select("term", "df", F.lit(True).alias("gram")))
+    joined = lookup_join(counts, both, "term", max_rows=max_rows)
+    weight = lambda n: tfidf_weight(F.col("tf"), F.col("df"), n, exact)
+    return joined.select(*id_cols, "term", F.when(F.col("gram"), weight(n_bi_grams)).otherwise(weight(n_tokens)).alias("tfidf"))
+
+
 def stored_counts(docs: DataFrame, records: DataFrame, kind: str = "token",
                   max_rows: int | None = None) -> DataFrame:
     """Counts of labelled rows (_data_source, _id, …) out of nested records.
@@ -113,6 +136,81 @@ def dense_weights(weights: DataFrame, id_cols: list[str], terms: list[str]) -> D
     return grouped.select(*id_cols, let(F.col("entries"), padded).alias("weights"))
 
 
+def term_places(*vocabularies: DataFrame) -> DataFrame:
+    """term, place: places from 0 in term order, those of earlier vocabularies first. Stored; the driver holds no term."""
+    tagged = [v.select("term", F.lit(k).alias("kind")) for k, v in enumerate(vocabularies)]
+    first = reduce(DataFrame.unionByName, tagged).groupBy("term").agg(F.min("kind").alias("kind"))
+    ids = dense_ids(first.select(F.struct("kind", "term").alias("at")), "at", "place")
+    return stored(ids.select("at.term", (F.col("place") - 1).cast("int").alias("place")), "places")
+
+
+def sparse_weights(weights: DataFrame, id_cols: list[str], places: DataFrame) -> DataFrame:
+    """id columns and `weights`, a struct of size, indices and values of the terms a row has; a row is as long as its text.
+
+    The ids have to be unique per document, which is checked: a term twice in a row is an error.
+    Terms without a place are left out.
+    """
+    size = places.count()
+    placed = lookup_join(weights, places, "term")
+    entries = placed.groupBy(*id_cols).agg(F.sort_array(F.collect_list(F.struct("place", "tfidf"))).alias("__e"))
+    once = F.size(F.array_distinct("__e.place")) == F.size("__e")
+    indices = F.when(once, F.col("__e.place")).otherwise(F.raise_error(F.lit("a document id repeats")).cast("array<int>"))
+    return entries.select(*id_cols, F.struct(
+        F.lit(size).alias("size"), indices.alias("indices"), F.col("__e.tfidf").alias("values")).alias("weights"))
+
+
+def sparse_for(docs: DataFrame, weights: DataFrame, key: str, places: DataFrame) -> DataFrame:
+    """All rows of `docs` with their sparse `weights`; rows without any term have none. `key` is unique in `docs`."""
+    sparse = sparse_weights(weights.select(key, "term", "tfidf"), [key], places)
+    none = F.struct(F.lit(places.count()).alias("size"), F.array().cast("array<int>").alias("indices"),
+                    F.array().cast("array<double>").alias("values"))
+    return docs.join(sparse, key, "left").withColumn("weights", F.coalesce("weights", none))
+
+
+def long_form(df: DataFrame, keys: list[str], places: DataFrame) -> DataFrame:
+    """keys, term, tfidf: sparse rows as long ones again."""
+    entries = df.select(*keys, F.inline(F.arrays_zip(
+        F.col("weights.indices").alias("place"), F.col("weights.values").alias("tfidf"))))
+    return lookup_join(entries.toDF(*keys, "place", "tfidf"), places, "place").select(*keys, "term", "tfidf")
+
+
+def named_weights(df: DataFrame, places: DataFrame, terms: list[str]) -> DataFrame:
+    """Sparse `weights` as an array of the named terms only, in their order, 0 where a row or the places lack one."""
+    names = df.sparkSession.createDataFrame([(t,) for t in dict.fromkeys(terms)], "term string")
+    found = {r["term"]: r["place"] for r in lookup_join(places, names, "term", "left_semi").collect()}
+    wanted = [found.get(t, -1) for t in terms]
+    indices, values = F.col("weights.indices"), F.col("weights.values")
+    if len(terms) <= FEW_TERMS:
+        cells = [F.coalesce(F.get(values, (F.array_position(indices, p) - 1).cast("int")), F.lit(0.0)) if p >= 0
+                 else F.lit(0.0) for p in wanted]
+        return df.withColumn("weights", F.array(*cells).cast("array<double>"))
+
+    def spread(w: Column) -> Column:
+        def gap(v: Column, k: Column) -> Column:
+            before = F.coalesce(F.get(w["indices"], k - 1), F.lit(-1))
+            return F.concat(F.array_repeat(F.lit(0.0), F.get(w["indices"], k) - before - 1), F.array(v))
+
+        last = F.coalesce(F.get(w["indices"], F.size(w["indices"]) - 1), F.lit(-1))
+        tail = F.array_repeat(F.lit(0.0), w["size"] - 1 - last)
+        return F.flatten(F.concat(F.transform(w["values"], gap), F.array(tail)))
+
+    chosen = F.from_json(F.lit(str(wanted)), "array<int>")  # one literal, however many terms
+    pick = lambda a: F.transform(chosen, lambda p: F.when(p >= 0, F.get(a, p)).otherwise(F.lit(0.0)))
+    return df.withColumn("weights", let(spread(F.col("weights")), pick))
+
+
+def with_vectors(df: DataFrame, column: str = "features") -> DataFrame:
+    """Sparse `weights` as a vector column for Spark ML, by writing them in the vector's own layout."""
+    w = F.col("weights")
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), w["size"].alias("size"), w["indices"].alias("indices"),
+                      w["values"].alias("values"))
+    made = df.withColumn(column, vector).drop("weights")
+    path = scratch_path(df.sparkSession, "vectors")
+    made.write.parquet(path)
+    fields = [T.StructField(f.name, VectorUDT() if f.name == column else f.dataType) for f in made.schema.fields]
+    return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+
+
 def wide_for(docs: DataFrame, weights: DataFrame, key: str, terms: list[str]) -> DataFrame:
     """All rows of `docs` with their `weights` array; rows without any term get zeros.
 
