@@ -8,12 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsfeat.session import stored
+
 # Bounds for sending a side to every executor, and the row count from which a key counts
 # as hot, which is also the size of its slices.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_ROWS = 1_000_000
 
+# The list of hot keys is never longer than this, and the summary that finds them counts so many keys at once.
+HOT_KEYS, TRACKED_KEYS = 10_000, 65_536
+
+# A bitmap of keys has 16 bits a key, in pages, and never more than these pages (16 MB); a fuller one is not made.
+PAGE_BITS, MAX_PAGES = 32_768, 4_096
+
 _SALT, _SLICES, _ROWS = "__salt", "__slices", "__rows"
 
 
@@ -37,19 +45,72 @@ def fits(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = Non
     return size["n"] <= max_rows and size["b"] <= max_bytes
 
 
+def _no_null(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+
+
+def hot_keys(big: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """keys, slices of the keys with more than `hot_rows` rows, or None; at most HOT_KEYS rows whatever the data.
+
+    A frequent-items summary of fixed size is kept per task and merged; only keys it names are counted exactly. It
+    may miss a key that holds under a few hundred-thousandths of all rows, which is less than a task's share.
+    """
+    place = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    known = big.where(_no_null(keys)).select(*[F.col(f"`{k}`") for k in keys], place.alias("__place"))
+    tracked = max(TRACKED_KEYS, HOT_KEYS)
+    top = known.agg(F.call_function("approx_top_k", F.col("__place"), F.lit(HOT_KEYS), F.lit(tracked)).alias("top")).first()
+    often = [r["item"] for r in top["top"] if r["count"] > hot_rows]
+    if not often:
+        return None
+    counted = known.where(F.col("__place").isin(often)).groupBy(*keys).agg(F.count("*").alias("n")).where(
+        F.col("n") > hot_rows).select(*keys, F.ceil(F.col("n") / hot_rows).cast("int").alias(_SLICES))
+    # as values: both sides of a join must see the same slices, also when a task runs again
+    return big.sparkSession.createDataFrame(counted.limit(HOT_KEYS).collect(), counted.schema)
+
+
+def key_bitmap(small: DataFrame, big: DataFrame, keys: list[str]) -> DataFrame | None:
+    """page, bits of the keys of `small`; None where one of bounded size would say nothing or the sides hash differently."""
+    plain = (T.IntegralType, T.StringType, T.BinaryType, T.DateType, T.TimestampType)
+    kinds = [(small.schema[k].dataType, big.schema[k].dataType) for k in keys]
+    if any(a != b or not isinstance(a, plain) for a, b in kinds):
+        return None
+    known = small.select(*keys).where(_no_null(keys)).distinct()
+    pages = 1 + 16 * known.count() // PAGE_BITS
+    if pages > 4 * MAX_PAGES:  # more than a quarter of the bits would be set
+        return None
+    pages = min(pages, MAX_PAGES)
+    slot = _slot(keys, pages)
+    bits = known.select(slot.alias("slot")).groupBy(F.expr(f"slot div {PAGE_BITS}").alias("__page")).agg(
+        F.expr(f"bitmap_construct_agg(slot % {PAGE_BITS})").alias("__bits"))
+    every = small.sparkSession.range(pages).select(F.col("id").alias("__page"))
+    return stored(every.join(bits, "__page", "left"), "key-bitmap")
+
+
+def _slot(keys: list[str], pages: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(PAGE_BITS * pages))
+
+
+def with_hit(big: DataFrame, bitmap: DataFrame, keys: list[str], name: str = "__hit") -> DataFrame:
+    """Rows with a flag that is false only where the key is surely not among those of the bitmap."""
+    slot = _slot(keys, bitmap.count())
+    marked = big.withColumn("__slot", slot).withColumn("__page", F.expr(f"__slot div {PAGE_BITS}"))
+    byte = F.conv(F.hex(F.expr(f"substring(__bits, cast((__slot % {PAGE_BITS}) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.expr("shiftleft(1, cast(__slot % 8 as int))")) != 0
+    out = marked.join(F.broadcast(bitmap), "__page", "left").withColumn(name, F.coalesce(hit, F.lit(False)) & _no_null(keys))
+    return out.select(*[F.col(f"`{c}`") for c in big.columns], name)
+
+
 def _spread(big: DataFrame, smalls: list[DataFrame], keys: list[str], spread: list[str] | None,
             hot_rows: int) -> tuple[DataFrame, list[DataFrame]]:
     """Cut the rows of hot keys into slices and copy the matching small rows to each slice.
 
-    A key gets one slice per `hot_rows` rows, so slices stay alike however large the key.
-    There are at most rows/hot_rows hot keys, so their list may be broadcast. Slices come
-    from a hash of the other columns (or `spread`), so a rerun task gives the same ones.
-    Rows with a null key match nothing and may go anywhere.
+    A key gets one slice per `hot_rows` rows, so slices stay alike however large the key; the list of hot keys
+    has a fixed length. Slices come from a hash of the other columns (or `spread`), so a rerun task gives
+    the same ones. Rows with a null key match nothing and may go anywhere.
     """
-    hot = F.broadcast(
-        big.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
-        .select(*keys, F.ceil(F.col("n") / hot_rows).cast("int").alias(_SLICES))
-    )
+    found = hot_keys(big, keys, hot_rows)
+    nobody = big.select(*keys, F.lit(1).alias(_SLICES)).where(F.lit(False))
+    hot = F.broadcast(nobody if found is None else found)
     others = spread or [c for c in big.columns if c not in keys] or keys
     place = F.xxhash64(*[F.col(f"`{c}`") for c in others])
     some_null = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
@@ -98,18 +159,25 @@ def lookup_join(big: DataFrame, small: DataFrame, keys: str | list[str], how: st
         return big.join(F.broadcast(small), keys, how)
     if not spread and set(big.columns) == set(keys):
         return _join_counted(big, small, keys, how, hot_rows)
+    bitmap = key_bitmap(small, big, keys) if how in ("inner", "left_semi", "left_anti") else None
+    rest = None
+    if bitmap is not None:  # what surely has no partner stays out of the exchange
+        marked = with_hit(big, bitmap, keys)
+        big, rest = marked.where("__hit").drop("__hit"), marked.where("NOT __hit").drop("__hit")
     big, (small,) = _spread(big, [small], keys, spread, hot_rows)
-    return big.join(small, [*keys, _SALT], how).drop(_SALT)
+    joined = big.join(small, [*keys, _SALT], how).drop(_SALT)
+    return joined.unionByName(rest) if how == "left_anti" and rest is not None else joined
 
 
 def merge_on(frames: list[DataFrame], key: str, *, max_rows: int | None = None,
              hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Chain of inner joins on one key; frames beyond the first that fit are broadcast.
+    """Chain of inner joins on one key that share one partitioning on (key, slice), so each frame is shuffled once.
 
-    The others share one partitioning on (key, slice), so each is shuffled once.
+    No frame is read to be measured: Spark broadcasts a side whose exchange turned out small. With `max_rows`
+    the frames beyond the first are measured, and those that fit are broadcast at once.
     """
     first, *rest = frames
-    small = [fits(f, max_rows) for f in rest]
+    small = [max_rows is not None and fits(f, max_rows) for f in rest]
     large = [f for f, s in zip(rest, small) if not s]
     joined = first
     if large:

@@ -89,3 +89,49 @@ def test_split_holds_every_row_once(spark):
     assert (train.count(), test.count()) == (11, 10)
     marked = J.mark_split(df, ids, "id").groupBy("split").count().collect()
     assert {r["split"]: r["count"] for r in marked} == {"train": 11, "test": 10}
+
+
+def test_the_list_of_hot_keys_has_a_fixed_length(spark, monkeypatch):
+    rows_of_key = spark.range(6000).selectExpr("cast(id % 60 AS string) AS k", "id % 2 AS part", "id")
+    assert {(r["k"], r[J._SLICES]) for r in J.hot_keys(rows_of_key, ["k"], 50).collect()} == {(str(i), 2) for i in range(60)}
+    assert J.hot_keys(rows_of_key, ["k"], 100) is None
+    assert J.hot_keys(rows_of_key, ["k", "part"], 30).count() == 60
+    assert J.hot_keys(rows_of_key.where("false"), ["k"], 1) is None
+    monkeypatch.setattr(J, "HOT_KEYS", 7)
+    assert J.hot_keys(rows_of_key, ["k"], 50).count() <= 7
+    # a summary that cannot hold all keys still finds the one that matters, and the join is right without the others
+    monkeypatch.setattr(J, "TRACKED_KEYS", 64)
+    many = spark.range(40_000).selectExpr("if(id % 4 = 0, 'hot', cast(id AS string)) AS k", "id")
+    assert [(r["k"], r[J._SLICES]) for r in J.hot_keys(many, ["k"], 2000).collect()] == [("hot", 5)]
+    small = spark.createDataFrame([("hot", 1), ("7", 2)], "k string, w int")
+    assert J.lookup_join(many, small, "k", max_rows=0, hot_rows=2000).count() == 10_001
+
+
+def test_few_rows_without_a_partner_reach_the_exchange(spark):
+    big = spark.range(20_000).selectExpr("id", "if(id % 100 = 7, null, id) AS k", "cast(id % 3 AS string) AS s")
+    small = spark.range(0, 20_000, 40).selectExpr("id AS k", "id * 2 AS w")
+    bitmap = J.key_bitmap(small, big, ["k"])
+    marked = J.with_hit(big, bitmap, ["k"])
+    hits = marked.where("__hit").count()
+    assert 500 <= hits < 3000  # a bit may be another key's; the join takes these out
+    assert marked.where("k IS NULL AND __hit").isEmpty() and marked.count() == 20_000
+    for how in ("inner", "left_semi", "left_anti", "left"):
+        got = J.lookup_join(big, small, "k", how, max_rows=0, hot_rows=1000)
+        want = big.join(small, "k", how)
+        assert rows(got) == rows(want) and got.columns == want.columns
+
+
+def test_no_bitmap_where_it_could_err_or_say_nothing(spark, monkeypatch):
+    big = spark.range(50).selectExpr("id AS k", "cast(id AS double) AS d", "1 AS v")
+    narrow = spark.range(0, 50, 5).selectExpr("cast(id AS int) AS k", "cast(id AS double) AS d")
+    assert J.key_bitmap(narrow, big, ["k"]) is None and J.key_bitmap(narrow, big, ["d"]) is None
+    assert J.lookup_join(big, narrow.select("k"), "k", "left_semi", max_rows=0).count() == 10
+    monkeypatch.setattr(J, "MAX_PAGES", 0)
+    assert J.key_bitmap(big.select("k"), big, ["k"]) is None
+
+
+def test_merge_on_measures_nothing(spark, sides, monkeypatch):
+    big, small = sides
+    monkeypatch.setattr(J, "fits", lambda *a, **k: pytest.fail("a frame was measured"))
+    third = small.select("k", F.col("w").alias("x"))
+    assert rows(J.merge_on([big, small, third], "k", hot_rows=5)) == rows(big.join(small, "k").join(third, "k"))
