@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from newsfeat.functions.cleaning import (ascii_replace, clean_sheet_cell, join_list, sanitise, strip_tags,
                                          to_unix_seconds, unlist, unquote, with_default)
+from newsfeat.functions.json_lists import objects_of_list
 
 # The article table, the XPath of every XML field, the JSON field behind
 # every article column, the CSV renames, and the columns of the bulk JSON conversion.
@@ -129,10 +130,13 @@ def _json_schema(fields: list[str]) -> str:
 
 
 def json_objects(df: DataFrame, json_col: str, fields: list[str]) -> DataFrame:
-    """One row per JSON object of a text holding an object or a list, with `malformed`."""
+    """One row per JSON object of a text holding an object or a list, with `malformed`.
+
+    A broken object of a list is one malformed row; the others are read.
+    """
     rest = [c for c in df.columns if c != json_col]
     text = F.col(json_col)
-    items = F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<string>")).otherwise(F.array(text))
+    items = F.when(F.ltrim(text).startswith("["), objects_of_list(text, fields)).otherwise(F.array(text))
     rows = df.select(*rest, F.explode(F.coalesce(items, F.array(F.lit(None).cast("string")))).alias("__object"))
     parsed = F.from_json("__object", _json_schema(fields),
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
@@ -149,8 +153,9 @@ def parse_json(df: DataFrame, json_col: str = "json") -> DataFrame:
 
 
 def _scan_json_fields(spark: SparkSession, path: str | list[str], fields: list[str]) -> DataFrame:
-    reader = spark.read.option("multiLine", True).option("columnNameOfCorruptRecord", _CORRUPT)
-    return reader.schema(_json_schema(fields)).json(path).withColumn("malformed", F.col(_CORRUPT).isNotNull())
+    """fields, `malformed` and the file's `__name` of every object; a file is one text, as a list cannot be cut blindly."""
+    texts = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("__name"))
+    return json_objects(texts, "value", fields)
 
 
 def scan_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -172,8 +177,7 @@ def bulk_cells(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
 
 def read_json_folder(spark: SparkSession, path: str, fields: list[str] = BULK_FIELDS) -> DataFrame:
     """One object per file; the file name up to its first point is the id."""
-    rows = _scan_json_fields(spark, path, fields).withColumn("__name", F.col("_metadata.file_name"))
-    return bulk_cells(accepted(rows), "__name", fields)
+    return bulk_cells(accepted(_scan_json_fields(spark, path, fields)), "__name", fields)
 
 
 # --- CSV and spreadsheet exports ---------------------------------------------------
