@@ -12,7 +12,8 @@ from newsfeat.functions.stem import stem_terms
 from newsfeat.functions.tokens import ngrams, phrase_ngrams, tokenize
 from newsfeat.operators import corpus as C
 from newsfeat.operators import tfidf as W
-from newsfeat.session import ship_package, stored
+from newsfeat.plans import incremental
+from newsfeat.session import scratch_path, ship_package, stored
 
 IDS = ["source_id", "doc_id"]
 DOCS = f"WITH {DOCS_SQL}, {token_ctes()}"
@@ -277,6 +278,20 @@ def l8(spark, sf):
     return C.extract_grams(corpus, dictionary, stem=False)
 
 
+@query("l8_incremental_corpus", f"""{DOCS}
+SELECT source_id, g1, g2, CAST(sum(c) AS BIGINT) AS c, count(*) AS df FROM bg_counts GROUP BY ALL""")
+def l8_batches(spark, sf):
+    """Three batches, the second overlapping the first and the third repeating it, give the counts of all documents at once."""
+    d, folder = docs(spark, sf), scratch_path(spark, "corpus")
+    for some in ("doc_id % 3 <> 1", "doc_id % 3 <> 2", "doc_id % 3 <> 1"):
+        incremental.add_batch(spark, folder, d.where(some), stem=False)
+    dictionary, counts = incremental.read_corpus(spark, folder)
+    for g in ("g1", "g2"):
+        terms = dictionary.select(F.col("i").alias(g), F.col("t").alias("t"))
+        counts = W.lookup_join(counts, terms, g).drop(g).withColumnRenamed("t", g)
+    return counts.select("source_id", "g1", "g2", "c", "df")
+
+
 @query("l9_bi_gram_vocabulary", f"{DOCS}, {VOCAB_SQL} SELECT term, df FROM bg_vocab")
 def l9(spark, sf):
     d = docs(spark, sf)

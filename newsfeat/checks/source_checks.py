@@ -165,7 +165,29 @@ def s4(spark, sf):
 def s4_files(spark, sf):
     path = scratch_path(spark, "nr")
     K.write_quoted(nr_rows(spark, sf), path)
-    return R.read_nr_csv(spark, path).na.fill("")
+    return R.read_nr_csv(spark, path)
+
+
+@query("s4_nr_unlike_headers", f"""WITH {ARTICLES_SQL}
+SELECT guid, "journal code", source, "story date", "RICs", CASE WHEN "RCS" <> 'en' THEN "person perm ids" END AS "person perm ids",
+  "OA perm ids", "RCS", title, '' AS "lead parag", "story body" FROM articles""")
+def s4_unlike(spark, sf):
+    """Files whose columns stand in another order, and lack one, beside files of the usual order."""
+    rows, path = nr_rows(spark, sf), scratch_path(spark, "nr-unlike")
+    K.write_quoted(rows.where("RCS <> 'en'"), f"{path}/usual")
+    turned = rows.where("RCS = 'en'").drop("person perm ids")
+    K.write_quoted(turned.select(*[f"`{c}`" for c in reversed(turned.columns)]), f"{path}/turned")
+    return R.read_nr_csv(spark, [f"{path}/usual", f"{path}/turned"])
+
+
+def named_files(spark, folder, target, prefix, extension):
+    """Give the part files of a folder names as a feed has them, below `target`."""
+    fs, goal = R._file_system(spark, target)
+    fs.mkdirs(goal)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for i, name in enumerate(R.list_files(spark, folder)):
+        if not fs.rename(path(name), path(f"{target}/{prefix}{i}.{extension}")):
+            raise OSError(f"{name} could not be named")
 
 
 def swift_rows(spark, sf):
@@ -197,6 +219,31 @@ def s5(spark, sf):
     return R.swift_articles(swift_rows(spark, sf))
 
 
+@query("s5_swift_files", SWIFT_SQL)
+def s5_files(spark, sf):
+    path = scratch_path(spark, "swift")
+    K.write_quoted(swift_rows(spark, sf), path)
+    return R.read_swift_csv(spark, path)
+
+
+@query("s6_news_folder", f"""WITH {ARTICLES_SQL}
+SELECT guid, "journal code", source, "story date", "RICs", "person perm ids", "OA perm ids",
+  concat("RCS", ' ', "journal code") AS "RCS", title, '' AS "lead parag", "story body" FROM articles WHERE "RCS" = 'de'
+UNION ALL SELECT guid, "journal code", source, "story date", "RICs", "person perm ids", "OA perm ids", "RCS", title,
+  '', "story body" FROM articles WHERE "RCS" = 'en'
+UNION ALL SELECT * FROM ({SWIFT_SQL.replace('FROM articles', """FROM articles WHERE "RCS" = 'es'""")})""")
+def s6_folder(spark, sf):
+    """One folder with JSON, NR and Swift files, told apart by their names, read in one call."""
+    path = scratch_path(spark, "news")
+    K.write_quoted(nr_rows(spark, sf).where("RCS = 'en'"), f"{path}/nr")
+    K.write_quoted(swift_rows(spark, sf).where("trim(BOTH '\" ' FROM sources) = 'es'"), f"{path}/swift")
+    write_lists(json_of(articles(spark, sf).where("RCS = 'de'")), f"{path}/json")
+    named_files(spark, f"{path}/nr", f"{path}/all", "NR_", "csv")
+    named_files(spark, f"{path}/swift", f"{path}/all", "SWIFT_", "csv")
+    named_files(spark, f"{path}/json", f"{path}/all", "feed", "json")
+    return R.read_news(spark, f"{path}/all")
+
+
 @query("s6_folder_union", f"""WITH {ARTICLES_SQL}
 SELECT 'xml' AS kind, count(*) AS n FROM articles WHERE "RCS" <> 'fr'
 UNION ALL SELECT 'json', count(*) FROM articles UNION ALL SELECT 'nr', count(*) FROM articles""")
@@ -248,6 +295,19 @@ def s10(spark, sf):
     return R.sheet_cells(rows)
 
 
+@query("s10_sheet_files", """SELECT CAST(o_orderkey AS VARCHAR) AS id, concat(o_orderpriority, ' house') AS "RICs",
+  o_orderstatus AS "Significance" FROM orders WHERE o_orderkey % 2 = 1""")
+def s10_files(spark, sf):
+    """A folder with exports of both feeds; the one whose names begin with NR_ is read."""
+    rows, path = table(spark, sf, "orders"), scratch_path(spark, "sheets")
+    cells = [F.col("o_orderkey").alias("id"), F.concat(F.lit("[u'"), "o_orderpriority", F.lit("', u'house']")).alias("RICs"),
+             F.col("o_orderstatus").alias("Significance Rating "), F.col("o_custkey").alias("Unnamed: 3")]
+    for feed, prefix in (("o_orderkey % 2 = 1", "NR_"), ("o_orderkey % 2 = 0", "export")):
+        K.write_quoted(rows.where(feed).select(*cells), f"{path}/{prefix}")
+        named_files(spark, f"{path}/{prefix}", f"{path}/all", prefix, "csv")
+    return R.read_sheet_export(spark, f"{path}/all", "nsc")
+
+
 LABEL_SQL = """SELECT CAST(doc_id AS VARCHAR) AS guid, CAST(quality AS VARCHAR) AS significance FROM labels"""
 
 

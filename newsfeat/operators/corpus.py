@@ -289,13 +289,13 @@ def token_dictionary(docs: DataFrame, text: str = "body", stem: bool = True) ->
 
 
 def extract_grams(docs: DataFrame, dictionary: DataFrame, text: str = "body", stem: bool = True,
-                  max_rows: int | None = None) -> DataFrame:
+                  max_rows: int | None = None, stop_words: list[str] = STOP_WORDS) -> DataFrame:
     """source_id, g1, g2 (ids), c, df: occurrences and document frequency of bi-grams.
 
     One pass and one shuffle give both. Counting runs on tokens and the far smaller
     result is encoded, which gives the same ids as encoding every occurrence first.
     """
-    grams = bi_gram_table(docs, ["source_id"], text, stem)
+    grams = bi_gram_table(docs, ["source_id"], text, stem, stop_words)
     counts = grams.groupBy("source_id", "g1", "g2").agg(F.sum("c").alias("c"), F.count("*").alias("df"))
     return encode(counts, dictionary, max_rows)
 

@@ -182,10 +182,32 @@ def read_json_folder(spark: SparkSession, path: str, fields: list[str] = BULK_FI
 
 # --- CSV and spreadsheet exports ---------------------------------------------------
 
+def header_groups(spark: SparkSession, path: str | list[str]) -> list[tuple[str, list[str]]]:
+    """(header line, files that begin with it) of the text files at `path`, found by one job; blank files are left out."""
+    lines = spark.read.text(path).select(
+        F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    # the first line of a file's first block; of each other block only one row is compared
+    first = lines.groupBy("file").agg(F.min_by("line", F.struct("start", "row")).alias("line")).where("line <> ''")
+    groups = first.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("line")
+    return [(r["line"], r["files"]) for r in groups.collect()]
+
+
+#: Stands for a missing cell while reading, so that a quoted empty cell stays an empty text.
+_MISSING = "\u0000"
+
+
 def _csv(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
-    """All-text CSV with quoted line breaks; files whose header differs are refused."""
-    return spark.read.csv(path, header=True, sep=sep, quote='"', escape='"', multiLine=True,
-                          enforceSchema=False)
+    """All-text CSV with quoted line breaks; files of unlike headers are one scan a header, put together by name.
+
+    Quoted empty cells are empty texts; cells left out, and columns that a file lacks, are null.
+    """
+    groups = header_groups(spark, path)
+    if not groups:
+        raise ValueError(f"{path}: no file with a header")
+    scans = [spark.read.csv(files, header=True, sep=sep, quote='"', escape='"', multiLine=True, enforceSchema=False,
+                            nullValue=_MISSING, emptyValue="") for _, files in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def nr_articles(df: DataFrame) -> DataFrame:

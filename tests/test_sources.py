@@ -204,3 +204,17 @@ def test_json_lists_of_bounded_size(spark, tmp_path):
         largest[n], files[n] = max(sizes), len(sizes)
         assert sum(len(json.loads(f.read_text())) for f in path.glob("part-*")) == n
     assert max(largest.values()) < 20_000 and files[10_000] > 4 * files[2000]
+
+
+def test_files_of_unlike_headers_are_put_together_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,"x y",z\n1,"",q\n2,,"two\nlines"\n')
+    (tmp_path / "b.csv").write_text("﻿z,k\r\nw,3\r\n", newline="")
+    (tmp_path / "c.csv").write_text('k,"x y",z\n')
+    (tmp_path / "d.csv").write_text("")
+    assert [len(files) for _, files in R.header_groups(spark, str(tmp_path))] == [2, 1]
+    df = R._csv(spark, str(tmp_path))
+    assert sorted(df.columns) == ["k", "x y", "z"]
+    got = {r["k"]: (r["x y"], r["z"]) for r in df.collect()}
+    assert got == {"1": ("", "q"), "2": (None, "two\nlines"), "3": (None, "w")}
+    with pytest.raises(ValueError, match="no file with a header"):
+        R._csv(spark, str(tmp_path / "d.csv"))
