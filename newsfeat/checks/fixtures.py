@@ -10,7 +10,9 @@ from newsfeat.sources.readers import read_table
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf}/{name}.parquet")
+    """A driver's table; `spark.newsfeat.spread`, where set, is the number of partitions it is dealt over."""
+    spread = spark.conf.get("spark.newsfeat.spread", None)
+    return read_table(spark, f"{sf}/{name}.parquet", int(spread) if spread else None)
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
