@@ -15,8 +15,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: A generation of the table holds this many pieces; two are kept, so a worker's memory is bounded.
-GENERATION = 700_000
+#: A generation of the table holds this many pieces of some 0.16 KB; two are kept, so a worker's table stays under 0.12 GB.
+GENERATION = 350_000
 #: Longer pieces are not kept.
 LONGEST_PIECE = 64
 #: White space that only some pattern engines call so, and special tokens' beginning.

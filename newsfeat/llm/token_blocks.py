@@ -25,7 +25,11 @@ BLOCK = 256
 #: Share of a block's ids that its width must hold.
 SHARE = 0.9
 #: A segment closes with the document that fills it; a longer document is a segment of its own.
-SEGMENT_IDS = 1 << 19
+SEGMENT_IDS = 1 << 17
+#: Blocks packed or unpacked at a time: a bit takes several bytes meanwhile.
+RUN = 256
+#: Row groups of the token table; readers and writers hold one each.
+GROUP_BYTES = 16 << 20
 MAGIC = b"PFR1"
 
 
@@ -35,6 +39,14 @@ def _widths(low: np.ndarray) -> np.ndarray:
     return np.where(mark == 0, 0, np.floor(np.log2(np.maximum(mark, 1).astype(np.float64))).astype(np.int64) + 1)
 
 
+def _runs(width: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """(places of blocks, their width), at most RUN blocks at a time."""
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        for i in range(0, len(at), RUN):
+            yield at[i:i + RUN], int(w)
+
+
 def encode_blocks(ids: np.ndarray) -> bytes:
     """uint32 ids -> block index, packed blocks, exceptions. The last block is filled with its own last id."""
     count = len(ids)
@@ -49,8 +61,7 @@ def encode_blocks(ids: np.ndarray) -> bytes:
     over[width >= 32] = 0
     where = np.argwhere(over)
     packed: list[bytes] = [b""] * blocks
-    for w in np.unique(width):
-        at = np.flatnonzero(width == w)
+    for at, w in _runs(width):
         bits = ((low[at][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1).astype(np.uint8)
         for i, row in zip(at, np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little")):
             packed[i] = row.tobytes()
@@ -77,11 +88,10 @@ def decode_blocks(data: bytes, first: int = 0, last: int | None = None) -> np.nd
     last = blocks if last is None else min(last, blocks)
     some = index[first:last]
     out = np.zeros((len(some), BLOCK), np.uint32)
-    for w in np.unique(some["width"]):
-        rows = np.flatnonzero(some["width"] == w)
+    for rows, w in _runs(some["width"]):
         if w:
-            take = some["start"][rows].astype(np.int64)[:, None] + np.arange(BLOCK * int(w) // 8)
-            bits = np.unpackbits(body[take], axis=1, bitorder="little").reshape(len(rows), BLOCK, int(w))
+            take = some["start"][rows].astype(np.int64)[:, None] + np.arange(BLOCK * w // 8)
+            bits = np.unpackbits(body[take], axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
             wide = np.zeros((len(rows), BLOCK, 32), np.uint8)
             wide[:, :, :w] = bits
             out[rows] = np.packbits(wide.reshape(len(rows), -1), axis=1, bitorder="little").view("<u4")
@@ -117,9 +127,9 @@ def read_document(data: bytes, number: int) -> np.ndarray:
 
 def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int = 2, spaced: bool = False,
                  key: str = "doc_id", text: str = "text", parts: int | None = None) -> None:
-    """Write the token table: part, segment, keys, n_tokens, data; parts ascend with the key.
+    """Write the token table: part, segment, before, keys, n_tokens, data; parts ascend with the key.
 
-    Null keys come first; rows that repeat a key follow each other in no set order. A null text
+    `before` counts the ids of earlier segments of the part, so a reader needs only one total per part. Null keys come first; rows that repeat a key follow each other in no set order. A null text
     is one end id. Range bounds come from the keys alone, so no text is encoded twice.
     """
     spark = docs.sparkSession
@@ -136,15 +146,15 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int = 2, spa
     rows = rows.withColumn("part", part).repartition(parts, "part").sortWithinPartitions("part", "key")
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, cells, now, seg, total = [], [], None, 0, 0
+        keys, cells, now, seg, total, before = [], [], None, 0, 0, 0
 
         def close() -> pa.RecordBatch:
             sizes = [len(c) for c in cells]
             data = segment_bytes(sizes, np.concatenate(cells))
             return pa.RecordBatch.from_arrays([
-                pa.array([now], pa.int32()), pa.array([seg], pa.int32()),
+                pa.array([now], pa.int32()), pa.array([seg], pa.int32()), pa.array([before], pa.int64()),
                 pa.array([keys], schema_type), pa.array([sum(sizes)], pa.int64()), pa.array([data], pa.binary())],
-                ["part", "segment", "keys", "n_tokens", "data"])
+                ["part", "segment", "before", "keys", "n_tokens", "data"])
 
         schema_type = None
         for batch in batches:
@@ -153,7 +163,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int = 2, spa
                                   batch.column("ids")):
                 if cells and (p != now or total >= SEGMENT_IDS):
                     yield close()
-                    seg, keys, cells, total = (seg + 1 if p == now else 0), [], [], 0
+                    seg, before = (seg + 1, before + total) if p == now else (0, 0)
+                    keys, cells, total = [], [], 0
                 now = p
                 keys.append(k)
                 cells.append(ids_of(cell.as_py()))
@@ -161,20 +172,20 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int = 2, spa
         if cells:
             yield close()
 
-    rows.mapInArrow(fold, f"part int, segment int, keys array<{kind}>, n_tokens long, data binary").write.parquet(out)
+    schema = f"part int, segment int, before long, keys array<{kind}>, n_tokens long, data binary"
+    rows.mapInArrow(fold, schema).write.option("parquet.block.size", GROUP_BYTES).parquet(out)
 
 
 def read_tokens(spark, path: str, key: str = "doc_id", with_ids: bool = True) -> DataFrame:
-    """One row per document from the table: key, start (ids of all documents before it), n_tokens, ids_crc32, ids."""
+    """One row per document from the table: key, start (ids of all documents before it), n_tokens, ids_crc32, ids.
+
+    An empty table has no row. No segment is moved: only the totals of the parts are gathered.
+    """
     ship_package(spark)
     table = spark.read.parquet(path)
-    totals = table.groupBy("part", "segment").agg(F.sum("n_tokens").alias("n"))
-    # one number per segment of half a million ids; parts are summed in the driver, segments within their part
-    by_part = totals.groupBy("part").agg(F.sum("n")).collect()
+    by_part = table.groupBy("part").agg(F.sum("n_tokens")).collect()  # one row per part
     bases = spark.createDataFrame(prefix_bases((r[0], r[1]) for r in by_part)[0], "part int, base long")
-    within = totals.selectExpr("part", "segment", "sum(n) OVER (PARTITION BY part ORDER BY segment) - n AS inner")
-    placed = table.join(within, ["part", "segment"]).join(F.broadcast(bases), "part").select(
-        "keys", "data", (F.col("base") + F.col("inner")).alias("at"))
+    placed = table.join(F.broadcast(bases), "part").select("keys", "data", (F.col("base") + F.col("before")).alias("at"))
     kind = table.schema["keys"].dataType.elementType.simpleString()
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
