@@ -37,7 +37,7 @@ def op3_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     response = F.struct(
         "record_type", F.when(whole, F.octet_length("payload").cast("long")).otherwise(declared).alias("bytes"),
         F.when(whole, F.sha2("payload", 256)).otherwise(F.substring_index("digest", ":", -1)).alias("digest"),
-        F.substring_index("refers_to", ":", -1).cast("long").alias("refers_to"))
+        F.get(F.split("refers_to", ":"), F.lit(2)).cast("long").alias("refers_to"))
     captures = warc.assemble(records, response, F.struct("record_id"), F.col("block").cast("string"))
     page = F.regexp_extract(F.get("metadata", F.lit(0)), r"^page: (\d+)$", 1)
     return captures.select(

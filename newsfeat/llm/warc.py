@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsfeat.operators.joins import lookup_join
 from newsfeat.session import ship_package, stored
 
 END = "\r\n\r\n"
@@ -33,16 +34,21 @@ def capture_records(pages: DataFrame, key: str = "page_id", url: str = "url", bo
     Of pages with equal payloads of at least `least` bytes, that with the smallest key is the
     response and others revisit it; rows that repeat the smallest key are all responses, and
     if all keys are null all rows are. A null body is empty, a null url leaves its header out.
+
+    The id of a capture is `urn:capture:<key>:<place>`, the place being that of the row in `pages`; a revisit refers
+    to the id of a response that is written. `pages` is read twice and must keep its order, as files do.
     """
     rows = pages.select(F.col(key).cast("string").alias("key"), F.col(key).alias("order"), F.col(url).alias("url"),
-                        F.coalesce(F.col(body), F.lit("")).alias("body"))
+                        F.coalesce(F.col(body), F.lit("")).alias("body"), F.monotonically_increasing_id().alias("place"))
     rows = rows.withColumns({"size": F.octet_length("body"), "digest": F.sha2("body", 256)})
-    firsts = rows.where(F.col("size") >= least).groupBy("digest").agg(F.min("order").alias("first"), F.count("*").alias("n"))
+    lowest = F.min(F.when(F.col("order").isNotNull(), F.struct("order", "key", "place"))).alias("first")
+    firsts = rows.where(F.col("size") >= least).groupBy("digest").agg(lowest, F.count("*").alias("n"))
     firsts = stored(firsts.where("n > 1 AND first IS NOT NULL").drop("n"), "firsts")  # payloads held more than once
     rows = rows.join(firsts, "digest", "left").withColumn(
-        "revisit", F.col("first").isNotNull() & ~F.col("order").eqNullSafe(F.col("first")))
-    tag = F.concat_ws(":", F.lit("urn:capture"), F.coalesce("key", F.lit("")), F.uuid())
-    rows = rows.select("*", tag.alias("tag"))
+        "revisit", F.col("first").isNotNull() & ~F.col("order").eqNullSafe(F.col("first.order")))
+    named = lambda k, place: F.concat_ws(":", F.lit("urn:capture"), F.coalesce(k, F.lit("")), place.cast("string"))
+    rows = rows.select("*", named(F.col("key"), F.col("place")).alias("tag"),
+                       named(F.col("first.key"), F.col("first.place")).alias("origin"))
     clean_url = F.regexp_replace("url", r"[\x00-\x20\x7F]+", "%20")
     bracket = lambda x: F.concat(F.lit("<"), x, F.lit(">"))
     answer = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
@@ -56,7 +62,7 @@ def capture_records(pages: DataFrame, key: str = "page_id", url: str = "url", bo
         ("WARC-Record-ID", bracket(F.col("tag"))), *shared,
         ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         ("WARC-Profile", F.when(F.col("revisit"), REVISIT_PROFILE)),
-        ("WARC-Refers-To", F.when(F.col("revisit"), bracket(F.concat(F.lit("urn:capture:"), F.col("first").cast("string"))))),
+        ("WARC-Refers-To", F.when(F.col("revisit"), bracket(F.col("origin")))),
         ("Content-Type", F.lit("application/http; msgtype=response")), ("Content-Length", F.octet_length(block))), block)
     sides = [F.concat(_header(
         ("WARC-Type", F.lit(kind)), ("WARC-Record-ID", bracket(F.concat_ws(":", "tag", F.lit(kind)))), *shared,
@@ -73,7 +79,7 @@ def write_archives(records: DataFrame, path: str) -> None:
 
 
 def _whole(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Which record each piece of one archive belongs to; pieces inside a record's length are part of it."""
+    """The pieces of one archive that share a record with others; pieces inside a record's length are part of it."""
     pdf = pdf.sort_values(["block", "rank"], ignore_index=True)
     owner, until, at = [], -1, 0
     for size, need in zip(pdf["size"], pdf["need"]):
@@ -81,7 +87,8 @@ def _whole(pdf: pd.DataFrame) -> pd.DataFrame:
             record, until = len(owner), at + need
         owner.append(record)
         at += size + len(CUT)
-    return pd.DataFrame({"file": pdf["file"], "block": pdf["block"], "rank": pdf["rank"], "record": owner})
+    out = pdf[["file", "rank"]].assign(record=owner)
+    return out[out.duplicated("record", keep=False)]
 
 
 def _field(header: Column, name: str) -> Column:
@@ -94,7 +101,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     headers, block (binary).
 
     Files are split between tasks. Only files that hold a cut inside a payload go through one
-    group each, of piece lengths alone; their pieces are then joined record by record.
+    group each, of piece lengths alone; the pieces of the records that were cut are then joined, all others stay where
+    they are. A record cut off by the end of its file keeps the bytes it has; an empty folder of archives has no record.
     """
     ship_package(spark)
     pieces = spark.read.option("lineSep", CUT).text(path).select(
@@ -107,11 +115,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         "need": F.coalesce(F.octet_length(head) + len(END) + need, F.lit(0)).cast("long")})
     exact = (F.col("size") == F.col("need")) | (F.col("size") == F.col("need") + len(END))
     cut_files = stored(pieces.where(~exact).select("file").distinct(), "cut_files")
-    good = pieces.join(cut_files, "file", "left_anti").select(F.col("value").cast("binary").alias("raw"))
-    odd = pieces.join(cut_files, "file", "left_semi")
-    record = odd.select("file", "block", "rank", "size", "need").groupBy("file").applyInPandas(
-        _whole, "file string, block long, rank long, record long")
-    parts = odd.join(record, ["file", "block", "rank"]).groupBy("file", "record").agg(
+    odd = pieces.select("file", "block", "rank", "size", "need").join(cut_files, "file", "left_semi")
+    shared = stored(odd.groupBy("file").applyInPandas(_whole, "file string, rank long, record long"), "shared_pieces")
+    good = lookup_join(pieces, shared, ["file", "rank"], "left_anti").select(F.col("value").cast("binary").alias("raw"))
+    parts = lookup_join(pieces, shared, ["file", "rank"]).groupBy("file", "record").agg(
         F.sort_array(F.collect_list(F.struct("block", "rank", F.col("value").cast("binary").alias("raw")))).alias("p"))
     glue = F.lit(CUT).cast("binary")
     mended = parts.select(F.aggregate(
@@ -144,14 +151,19 @@ def assemble(records: DataFrame, response: Column, request: Column, metadata: Co
     A request or metadata record joins the response or revisit that its concurrent-to names, or
     the one that a request named there belongs to. Records that name nothing known are left
     out; a response without company still gives its row. The three columns say what to keep of
-    each record, so payloads travel only when asked for.
+    each record, so payloads travel only when asked for; what is kept is stored once, so the archives are read once.
     """
+    kept = records.where("record_type IN ('response', 'revisit', 'request', 'metadata')")
+    of = lambda kind, column: F.when(F.col("record_type").isin(*kind), column)
+    records = stored(kept.select(
+        "record_type", "record_id", "concurrent_to", of(["response", "revisit"], response).alias("response"),
+        of(["request"], request).alias("request"), of(["metadata"], metadata).alias("metadata")), "records")
     main = records.where("record_type IN ('response', 'revisit')").select(
-        F.col("record_id").alias("capture_id"), response.alias("response"))
+        F.col("record_id").alias("capture_id"), "response")
     requests = records.where("record_type = 'request'").select(
-        F.col("concurrent_to").alias("capture_id"), "record_id", request.alias("request"))
+        F.col("concurrent_to").alias("capture_id"), "record_id", "request")
     notes = records.where("record_type = 'metadata'").select(
-        F.col("concurrent_to").alias("near"), metadata.alias("metadata"))
+        F.col("concurrent_to").alias("near"), "metadata")
     hop = requests.select(F.col("record_id").alias("near"), "capture_id")
     notes = notes.join(hop, "near", "left").select(F.coalesce("capture_id", "near").alias("capture_id"), "metadata")
     company = requests.groupBy("capture_id").agg(F.first("request").alias("request"))

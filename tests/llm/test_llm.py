@@ -89,16 +89,36 @@ def test_warc_round_trip(spark, tmp_path):
     got = warc.assemble(records, F.struct("record_type", F.col("payload"), "refers_to"), F.struct("record_id"),
                         F.col("block").cast("string")).collect()
     assert len(got) == len(ids) and all(r.request and len(r.metadata) == 1 for r in got)
+    named = {r.capture_id: r for r in got}
+    assert len(named) == len(ids)
     by = {r.metadata[0]: r.response for r in got}
     for i, body in zip(ids, bodies):
         r = by[f"page: {'' if i is None else i}"]
         twin = [j for j, b in zip(ids, bodies) if b == body and b and len(b.encode()) >= 100 and j is not None]
         if twin and i != min(twin):
-            assert r.record_type == "revisit" and r.refers_to == f"urn:capture:{min(twin)}"
+            origin = named[r.refers_to]
+            assert r.record_type == "revisit" and origin.metadata == [f"page: {min(twin)}"]
+            assert origin.response.record_type == "response"
         else:
             assert r.record_type == "response" and bytes(r.payload) == (body or "").encode()
 
 
+def test_warc_repeated_keys_and_empty_table(spark, tmp_path):
+    body = "b" * 150
+    df = spark.createDataFrame([(1, "u", body, 0)] * 3 + [(2, "u", body, 1), (2, "u", body, 1)],
+                               "page_id long, url string, html string, digest int")
+    for name, rows, kinds in (("all", df, {"response": 3, "revisit": 2}), ("none", df.where("false"), {})):
+        path = str(tmp_path / name)
+        warc.write_archives(warc.capture_records(rows), path)
+        got = warc.assemble(warc.read_archives(spark, path), F.struct("record_type", "refers_to"), F.struct("record_id"),
+                            F.col("block").cast("string")).collect()
+        seen = [r.response.record_type for r in got]
+        assert {k: seen.count(k) for k in set(seen)} == kinds
+        ids = {r.capture_id for r in got if r.response.record_type == "response"}
+        assert all(r.response.refers_to in ids for r in got if r.response.record_type == "revisit")
+        assert all(r.request and len(r.metadata) == 1 for r in got)
+
+
 def test_quality_lines(spark):
     good = "This is a clean line of prose with words, and then some more of them follow here to make it longer than a menu."
     bad = "Home | About | Contact | Login"
