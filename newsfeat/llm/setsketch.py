@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsfeat.llm.common import split_by_key
 from newsfeat.llm.components import components, extend
 from newsfeat.session import ship_package, stored
 
@@ -126,16 +127,16 @@ def sketches(sets: list[np.ndarray], most: int = 200_000) -> Iterator[np.ndarray
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band; the band's number is part of it."""
-    rows = regs.reshape(BANDS, ROWS).astype(np.uint64)
+    """One 64-bit key per band of each row of registers; the band's number is part of it."""
+    rows = regs.reshape(*regs.shape[:-1], BANDS, ROWS).astype(np.uint64)
     key = np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD
     for i in range(ROWS):
-        key = mix(key ^ (rows[:, i] + np.uint64(i << 20)))
+        key = mix(key ^ (rows[..., i] + np.uint64(i << 20)))
     return key.view(np.int64)
 
 
 def sketch_documents(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, n_shingles, digest of the shingle set, registers, bands; sketches are null for empty sets."""
+    """key, n_shingles, digest of the shingle set, registers; sketches are null for empty sets."""
     ship_package(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     slim = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -148,13 +149,25 @@ def sketch_documents(docs: DataFrame, key: str, text: str) -> DataFrame:
             first = {d: x for d, x in zip(digests, sets) if d}  # equal sets are sketched once
             known = dict(zip(first, sketches(list(first.values()))))
             regs = [known[d].tobytes() if d else None for d in digests]
-            bands = [band_keys(known[d]) if d else None for d in digests]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(regs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                ["key", "n_shingles", "digest", "registers", "bands"])
+                 pa.array(regs, pa.binary())], ["key", "n_shingles", "digest", "registers"])
 
-    return slim.mapInArrow(run, f"key {kind}, n_shingles long, digest binary, registers binary, bands array<long>")
+    return slim.mapInArrow(run, f"key {kind}, n_shingles long, digest binary, registers binary")
+
+
+def band_spots(sketched: DataFrame) -> DataFrame:
+    """node, bucket: the key of every band of each (node, registers)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                regs = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(batch.column("node").to_numpy(), BANDS)), pa.array(band_keys(regs).ravel())],
+                    ["node", "bucket"])
+
+    return sketched.select("node", "registers").mapInArrow(run, "node long, bucket long")
 
 
 def log_likelihood(more: np.ndarray, less: np.ndarray, same: np.ndarray, na: np.ndarray, nb: np.ndarray,
@@ -222,8 +235,12 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """node, set (sorted hashes) of the wanted classes (node, first, digest), from the text of one of their rows."""
-    slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    """node, set (sorted hashes) of the wanted classes (node, first, digest), from the text of one of their rows.
+
+    A bitmap of the wanted keys leaves the other texts out of the join's exchange.
+    """
+    slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(key)).alias("spot"))
+    slim, _ = split_by_key(slim, wanted.select(F.xxhash64("first").alias("spot")), "spot")
     rows = slim.join(wanted, slim["key"].eqNullSafe(wanted["first"])).select("node", "digest", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,17 +362,26 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     connected; rows that repeat the smallest key are all kept. A null key counts as larger than
     any other: a group without another key has a null component_id and keeps its rows.
     """
-    sketch = stored(sketch_documents(docs, key, text), "sketch")
-    classes = sketch.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("key").alias("first"), F.first("n_shingles").alias("n_shingles"),
-        F.first("registers").alias("registers"), F.first("bands").alias("bands"))
-    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    spots = classes.select("node", F.explode("bands").alias("bucket"))
-    sizes = spots.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    crowd = stored(spots.join(sizes, "bucket"), "crowd")  # members of buckets that others share
+    sketch = stored(sketch_documents(docs, key, text).withColumn("node", F.monotonically_increasing_id()), "sketch")
+    full = sketch.where("n_shingles > 0")
+    # the registers stay where they were written: a class is known by its first row
+    classes = stored(full.groupBy("digest").agg(
+        F.min("key").alias("first"), F.first("n_shingles").alias("n_shingles"), F.min("node").alias("node"),
+        F.count("*").alias("copies")), "classes")
+    copies = stored(full.select("digest", F.col("node").alias("copy")).join(
+        classes.where("copies > 1").select("digest", "node"), "digest").where("copy <> node").select(
+        F.col("copy").alias("node")), "copies")
+    maybe, sure = split_by_key(full.select("node", "registers"), copies, "node")
+    firsts = maybe.join(copies, "node", "left_anti")
+    spots = band_spots(firsts if sure is None else firsts.unionByName(sure))
+    sizes = stored(spots.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    # members of buckets that others share; most buckets hold one class and are left out before the exchange
+    crowd = stored(split_by_key(spots, sizes, "bucket")[0].join(sizes, "bucket"), "crowd")
     # the member that shares most is closest to the centre of its group
     people = stored(crowd.groupBy("node").agg(F.sum("n").alias("shared")).join(
         classes.select("node", "first", "digest", "n_shingles"), "node"), "people")
+    held = stored(split_by_key(full.select("node", "registers"), people, "node")[0].join(
+        people.select("node", "n_shingles"), "node"), "held")
     sets = stored(shingle_sets(docs, people.select("node", "first", "digest"), key, text), "sets")
     member = crowd.join(people.select("node", "shared", "n_shingles"), "node").select(
         "bucket", "node", "shared", "n_shingles")
@@ -364,7 +390,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     lead = member.groupBy("bucket").agg(F.max(F.struct("shared", "node"))["node"].alias("lead"))
     pairs = member.join(lead, "bucket").where("node <> lead").select(
         F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = stored(estimate(pairs, classes), "pairs")
+    pairs = stored(estimate(pairs, held), "pairs")
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("est", "a")).alias("a"))
     links = stored(verify(best, sets), "links")
     labels = components(links)
@@ -375,7 +401,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     named = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     split = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
     named = stored(named.join(split.select("bucket"), "bucket").select("bucket", "node", "label", "n_shingles"), "split")
-    rest = stored(links_across(_may_link(named, sets), classes, sets), "rest")
+    rest = stored(links_across(_may_link(named, sets), held, sets), "rest")
     labels = extend(labels, rest)
 
     by_class = classes.join(labels, "node", "left").select(
