@@ -70,9 +70,11 @@ def judge_documents(docs: DataFrame, text: str = "text", width: int = 5, least_w
     """
     added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
              "clean_text", "n_bad_lines", "lost_chars")
-    names = [c for c in docs.columns if c not in added]
+    given = [c for c in docs.columns if c not in added]
+    names = [f"_c{i}" for i in range(len(given))]  # whatever the input's columns are called
+    carried = [F.col(f"`{c}`").alias(n) for c, n in zip(given, names)]
     whole = F.coalesce(F.col(text), F.lit(""))
-    df = docs.select(*names, words_of(F.col(text)).alias("_words"), F.split(whole, "\n", -1).alias("_lines"),
+    df = docs.select(*carried, words_of(F.col(text)).alias("_words"), F.split(whole, "\n", -1).alias("_lines"),
                      whole.rlike(NOISE).alias("_noisy"), whole.rlike(SEPARATORS).alias("_barred"),
                      _any(F.lower(whole)).alias("_boiler"),
                      F.length(F.regexp_replace(whole, SYMBOLS, "")).cast("long").alias("n_symbols"))
@@ -106,4 +108,4 @@ def judge_documents(docs: DataFrame, text: str = "text", width: int = 5, least_w
         100 * F.col("n_repeat_words") > most_repeat_pct * F.col("n_words"))
     df = df.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (100 * F.col("lost_chars") <= most_lost_pct * F.col("_total")))
-    return df.select(*names, *added)
+    return df.select(*[F.col(n).alias(c) for c, n in zip(given, names)], *added)

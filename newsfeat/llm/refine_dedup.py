@@ -83,14 +83,17 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", hash_
 
 
 def drop_equal(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of `docs` that stay, with their columns. Rows that cannot have an equal are not moved."""
-    pages = stored(repeated_slots(docs, text), "slots")
-    again, alone = split_by_slot(docs, text, pages)
-    digest = F.sha2(F.col("_norm"), 256)
-    again = again.withColumn("_sha", digest)
-    order = F.struct(F.col(key).isNull().alias("blank"), F.col(key).alias("k"))
+    """The rows of `docs` that stay, with their columns. Rows that cannot have an equal are not moved.
+
+    A null text is empty, a null key counts as the largest. Columns may have any name.
+    """
+    packed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(key).alias("key"))
+    pages = stored(repeated_slots(packed, "text"), "slots")
+    again, alone = split_by_slot(packed, "text", pages)
+    again = again.withColumn("_sha", F.sha2(F.col("_norm"), 256))
+    order = F.struct(F.col("key").isNull().alias("blank"), F.col("key").alias("k"))
     winners = again.groupBy("_sha").agg(F.min(order).alias("_first"))
-    kept = again.join(winners, "_sha").where(F.col(key).eqNullSafe(F.col("_first.k")))
+    kept = again.join(winners, "_sha").where(F.col("key").eqNullSafe(F.col("_first.k")))
     # rows that repeat both the key and the text: one of them
     kept = kept.dropDuplicates(["_sha"])
-    return kept.select(*docs.columns).unionByName(alone.select(*docs.columns))
+    return kept.select("row.*").unionByName(alone.select("row.*"))
