@@ -9,6 +9,8 @@ from newsfeat.checks.fixtures import (ARTICLES_SQL, LABELLED_SQL, ORDER_TEXTS_SQ
 from newsfeat.checks.registry import query
 from newsfeat.functions import cleaning as P
 from newsfeat.functions import features as X
+from newsfeat.plans import exports
+from newsfeat.session import scratch_path
 
 TAGS = P.TAG_PATTERN.replace("'", "''")
 SANITISED = "replace(translate(text, chr(13) || chr(9) || chr(10), '   '), '\"', '''')"
@@ -243,3 +245,10 @@ def l3(spark, sf):
     rows = order_texts(spark, sf).select(
         "o_orderkey", F.col("text").alias("story"), F.concat(F.lit("<A>"), "text").alias("subheadline"))
     return P.clean_columns(rows, ["story", "subheadline"])
+
+
+@query("l3_clean_table", f"""SELECT page_id, url, regexp_replace('<P>' || html, '{TAGS}', '', 'g') AS html FROM pages""")
+def l3_table(spark, sf):
+    path = scratch_path(spark, "l3")
+    table(spark, sf, "pages").withColumn("html", F.concat(F.lit("<P>"), "html")).write.parquet(path)
+    return exports.clean_table(spark, path, ["html"])

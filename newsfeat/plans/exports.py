@@ -1,16 +1,24 @@
-"""Label files and wide TF-IDF exports of labelled articles."""
+"""Label files, wide TF-IDF exports of labelled articles, and tables cleaned in place."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsfeat.functions.cleaning import clean_columns
 from newsfeat.functions.tokens import STOP_WORDS
 from newsfeat.operators.corpus import BI_GRAM_CORPUS_SIZE, TOKEN_CORPUS_SIZE
 from newsfeat.operators.joins import attach_labels, mark_split
 from newsfeat.operators.tfidf import (expand_columns, named_weights, observed_terms, sparse_for, term_list, term_places,
                                       tfidf_from_counts, tfidf_from_text)
 from newsfeat.session import stored
+from newsfeat.sources.sinks import replace_table
+
+
+def clean_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Remove tags from text columns of the table at `path`, which is replaced; the other columns and nulls stay."""
+    replace_table(clean_columns(spark.read.parquet(path), columns), path)
+    return spark.read.parquet(path)
 
 
 def label_news(articles: DataFrame, labels: DataFrame) -> DataFrame:

@@ -101,3 +101,15 @@ def test_row_features_accept_a_stream(spark, tmp_path, articles):
     query.processAllAvailable()
     query.stop()
     assert sorted(map(str, spark.table("featured").collect())) == sorted(map(str, featured(articles).collect()))
+
+
+def test_clean_table_in_place(spark, tmp_path):
+    path = str(tmp_path / "articles")
+    rows = [(1, "<P>one<BR> two", "<B>x", "<I>kept"), (2, None, "", None)]
+    spark.createDataFrame(rows, "ID long, story string, `sub headline` string, other string").write.parquet(path)
+    for _ in range(2):  # cleaning again changes nothing
+        out = exports.clean_table(spark, path, ["story", "sub headline"])
+        found = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+        assert found == sorted(tuple(r) for r in out.collect())
+        assert [r[0] for r in found] == [1, 2] and found[1][1:] == (None, "", None) and found[0][3] == "<I>kept"
+        assert found[0][1:3] == ("one two", "x")
