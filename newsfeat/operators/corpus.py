@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from newsfeat.functions.cleaning import lead_and_body
 from newsfeat.functions.stem import stem_tokens
 from newsfeat.functions.tokens import STOP_WORDS, count_terms, gram_counts, ngrams, term_counts, tokenize
-from newsfeat.operators.joins import lookup_join
+from newsfeat.operators.joins import fits, lookup_join
 from newsfeat.session import ship_package, stored
 
 # Corpus sizes behind the idf of tokens and bi-grams, the document
@@ -250,9 +250,11 @@ def dense_ids(terms: DataFrame, order: str, name: str = "i") -> DataFrame:
 
 def encode(grams: DataFrame, dictionary: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Replace the tokens g1, g2 by their dictionary ids (dictionary: i, t)."""
+    small = fits(dictionary.select("t", "i"), max_rows)
     for g in ("g1", "g2"):
         side = dictionary.select(F.col("t").alias(g), F.col("i").alias("__id"))
-        grams = lookup_join(grams, side, g, max_rows=max_rows).withColumn(g, F.col("__id")).drop("__id")
+        joined = lookup_join(grams, side, g, small_fits=small, derived=True, sieve=False)
+        grams = joined.withColumn(g, F.col("__id")).drop("__id")
     return grams
 
 
@@ -275,9 +277,10 @@ def gram_ids(grams: DataFrame) -> DataFrame:
 def decode(grams: DataFrame, dictionary: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Ids back to one `a.b` term; the other columns stay."""
     rest = [c for c in grams.columns if c not in ("g1", "g2")]
+    small = fits(dictionary.select("i", "t"), max_rows)
     for g in ("g1", "g2"):
         side = dictionary.select(F.col("i").alias(g), F.col("t").alias(f"__{g}"))
-        grams = lookup_join(grams, side, g, max_rows=max_rows)
+        grams = lookup_join(grams, side, g, small_fits=small, derived=True, sieve=False)
     return grams.select(F.concat_ws(".", "__g1", "__g2").alias("term"), *rest)
 
 

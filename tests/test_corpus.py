@@ -142,3 +142,21 @@ def test_stored_counts_take_the_first_record(spark):
         "bg_counts array<struct<g1:string,g2:string,c:bigint>>, seq int")
     assert [tuple(r) for r in W.stored_counts(docs, records).collect()] == [("s", 1, "a", 1)]
     assert [tuple(r) for r in W.stored_counts(docs, records, "bi_gram").collect()] == [("s", 1, "a.b", 3)]
+
+
+def test_a_large_dictionary_reads_the_grams_once(spark):
+    """Measuring for the shuffle join and joining do not compute the grams again."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [("a", "b", i) for i in range(30)] + [("b", "c", i) for i in range(30)] + [(None, "a", 1), ("a", "zz", 2)]
+    grams = spark.createDataFrame(rows, "g1 string, g2 string, v long")
+    dictionary = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "i long, t string")
+    coded = C.encode(grams.mapInArrow(counted, grams.schema), dictionary, max_rows=0)
+    back = C.decode(coded, dictionary, max_rows=0)
+    assert sorted(map(tuple, back.collect())) == sorted([("a.b", i) for i in range(30)] + [("b.c", i) for i in range(30)])
+    assert read.value == len(rows)
