@@ -288,7 +288,7 @@ def l8_batches(spark, sf):
     dictionary, counts = incremental.read_corpus(spark, folder)
     for g in ("g1", "g2"):
         terms = dictionary.select(F.col("i").alias(g), F.col("t").alias("t"))
-        counts = W.lookup_join(counts, terms, g).drop(g).withColumnRenamed("t", g)
+        counts = W.lookup_join(counts, terms, g, derived=True, sieve=False).drop(g).withColumnRenamed("t", g)
     return counts.select("source_id", "g1", "g2", "c", "df")
 
 
@@ -310,7 +310,7 @@ def w1(spark, sf):
     counts = C.token_table(d, ["doc_id"], stem=False)
     frequency = stored(C.document_frequency(counts, ["term"]), "document-frequency")
     n = C.corpus_size(d)
-    joined = W.lookup_join(counts, frequency, "term")
+    joined = W.lookup_join(counts, frequency, "term", derived=True, sieve=False)
     return joined.select(
         "doc_id", "term",
         F.round(W.tfidf_weight(F.col("tf"), F.col("df"), n), 6).alias("tfidf"),
