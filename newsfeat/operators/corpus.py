@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from newsfeat.functions.cleaning import lead_and_body
 from newsfeat.functions.stem import stem_tokens
-from newsfeat.functions.tokens import STOP_WORDS, count_terms, gram_counts, ngrams, term_counts, tokenize
+from newsfeat.functions.tokens import STOP_WORDS, count_terms, ngrams, term_counts, tokenize
 from newsfeat.operators.joins import fits, lookup_join
 from newsfeat.session import ship_package, stored
 
@@ -89,7 +89,10 @@ def bi_gram_table(docs: DataFrame, id_cols: list[str], text: str = "body", stem:
                   stop_words: list[str] = STOP_WORDS) -> DataFrame:
     """id columns, g1, g2, c per document row."""
     docs = with_text(docs, text).select(*id_cols, tokens_of(F.col(text), stem, stop_words).alias("tokens"))
-    return gram_counts(docs, id_cols, ngrams(F.col("tokens"), 2, join=False))
+    # joined texts sort faster than structs; no token holds a point, so they are cut at it again
+    counted = term_counts(docs, id_cols, ngrams(F.col("tokens"), 2), "__g", "c")
+    g1, g2 = (F.substring_index("__g", ".", k).alias(g) for k, g in ((1, "g1"), (-1, "g2")))
+    return counted.select(*id_cols, g1, g2, "c")
 
 
 def nested_counts(docs: DataFrame, text: str = "body", stem: bool = True,
