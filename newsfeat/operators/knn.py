@@ -23,11 +23,20 @@ PIVOTS = 256
 BLOCK_ROWS = 16_384
 SLACK = 1e-9
 
+# Cells of a matrix that a task holds at once, and rows it hands on at once, with their vectors.
+TILE, ROWS_OUT = 1 << 21, 4_096
+
 _CELL_SCHEMA = "train_id bigint, label int, unit array<double>, cell int, angle double"
 _VISIT_SCHEMA = "test_id bigint, unit array<double>, cell int"
 _BEST_SCHEMA = "test_id bigint, train_id bigint, label int, similarity double"
 
 
+def _tiles(rows: int, columns: int) -> Iterator[slice]:
+    """Runs of rows whose matrix of so many columns stays within a tile."""
+    step = max(1, TILE // max(1, columns))
+    return (slice(at, at + step) for at in range(0, rows, step))
+
+
 def unit_rows(vectors: pd.Series) -> np.ndarray:
     """Vectors scaled to length 1; zero vectors stay zero."""
     matrix = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
@@ -68,25 +77,29 @@ def _visits(test: DataFrame, pivots: np.ndarray, cells: np.ndarray, sizes: np.nd
             k: int) -> DataFrame:
     """One row per test vector and cell that may hold one of its k neighbours."""
 
+    def reached(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        angles = _angles(units, pivots[cells])
+        least = np.cos(np.minimum(angles + radii, np.pi))
+        most = np.cos(np.maximum(angles - radii, 0.0))
+        order = np.argsort(-least, axis=1, kind="stable")
+        enough = (np.cumsum(sizes[order], axis=1) >= k).argmax(axis=1)
+        last = order[np.arange(len(order)), enough]
+        bound = least[np.arange(len(order)), last]
+        if sizes.sum() < k:
+            bound = np.full(len(order), -2.0)
+        return np.nonzero(most >= bound[:, None] - SLACK)
+
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            units = unit_rows(batch["vector"])
-            angles = _angles(units, pivots[cells])
-            least = np.cos(np.minimum(angles + radii, np.pi))
-            most = np.cos(np.maximum(angles - radii, 0.0))
-            order = np.argsort(-least, axis=1, kind="stable")
-            enough = (np.cumsum(sizes[order], axis=1) >= k).argmax(axis=1)
-            last = order[np.arange(len(order)), enough]
-            bound = least[np.arange(len(order)), last]
-            if sizes.sum() < k:
-                bound = np.full(len(order), -2.0)
-            row, column = np.nonzero(most >= bound[:, None] - SLACK)
-            yield pd.DataFrame({
-                "test_id": batch["test_id"].to_numpy()[row], "unit": list(units[row]),
-                "cell": cells[column].astype("int32"),
-            })
+            units, ids = unit_rows(batch["vector"]), batch["test_id"].to_numpy()
+            for some in _tiles(len(units), len(cells)):
+                row, column = reached(units[some])
+                for at in range(0, len(row), ROWS_OUT):
+                    at = slice(at, at + ROWS_OUT)
+                    yield pd.DataFrame({"test_id": ids[some][row[at]], "unit": list(units[some][row[at]]),
+                                        "cell": cells[column[at]].astype("int32")})
 
     return test.mapInPandas(visit, _VISIT_SCHEMA)
 
@@ -100,8 +113,8 @@ def _best(train: pd.DataFrame, test: pd.DataFrame, k: int) -> pd.DataFrame:
     ids, labels = train["train_id"].to_numpy(), train["label"].to_numpy()
     keep = min(k, len(ids))
     parts = []
-    for start in range(0, len(test), 1024):
-        part = test.iloc[start:start + 1024]
+    for some in _tiles(len(test), len(ids)):
+        part = test.iloc[some]
         similarity = np.round(np.stack(part["unit"].to_list()) @ matrix.T, 12)
         least = -np.partition(-similarity, keep - 1, axis=1)[:, keep - 1:keep]
         above, tied = similarity > least, similarity == least

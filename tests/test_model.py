@@ -1,9 +1,11 @@
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from newsfeat.operators import knn
 from newsfeat.operators import model as M
 from newsfeat.operators.knn import cosine_knn, neighbours
 
@@ -118,3 +120,23 @@ def test_forest_depth_is_a_parameter(spark):
     df = M.assemble(df.select("x", F.floor(F.log2(F.col("x") + 1)).alias("y"), "label"), ["x", "y"], "label")
     deep = M.estimators()["random_forest"].copy().setMaxBins(3000).setNumTrees(1).fit(df)
     assert deep.trees[0].depth > 10
+
+
+def test_visits_of_a_batch_come_in_small_frames():
+    """A batch that visits many cells is not turned into one frame with a vector a visit."""
+    rng = np.random.default_rng(0)
+    pivots = knn.unit_rows(pd.Series(list(rng.normal(size=(50, 4)))))
+    vectors = rng.normal(size=(3000, 4))
+    taken = []
+
+    class Test:
+        def mapInPandas(self, visit, schema):
+            taken.append(visit)
+
+    knn._visits(Test(), pivots, np.arange(50), np.full(50, 10), np.full(50, np.pi), 3)
+    frames = list(taken[0](iter([pd.DataFrame({"test_id": np.arange(3000), "vector": list(vectors)})])))
+    assert max(map(len, frames)) <= 5_000
+    every = pd.concat(frames)
+    assert len(every) == 150_000 and not every.duplicated(["test_id", "cell"]).any()
+    units = knn.unit_rows(pd.Series(list(vectors)))
+    assert np.array_equal(np.stack(every["unit"].to_list()), units[every["test_id"]])
