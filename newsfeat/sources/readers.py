@@ -136,7 +136,9 @@ def json_objects(df: DataFrame, json_col: str, fields: list[str]) -> DataFrame:
     """
     rest = [c for c in df.columns if c != json_col]
     text = F.col(json_col)
-    items = F.when(F.ltrim(text).startswith("["), objects_of_list(text, fields)).otherwise(F.array(text))
+    is_list = F.ltrim(text).startswith("[")
+    # a Python function gets all rows, whatever the branch, so what is no list goes as null
+    items = F.when(is_list, objects_of_list(F.when(is_list, text), fields)).otherwise(F.array(text))
     rows = df.select(*rest, F.explode(F.coalesce(items, F.array(F.lit(None).cast("string")))).alias("__object"))
     parsed = F.from_json("__object", _json_schema(fields),
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})

@@ -1,5 +1,6 @@
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,3 +219,18 @@ def test_files_of_unlike_headers_are_put_together_by_name(spark, tmp_path):
     assert got == {"1": ("", "q"), "2": (None, "two\nlines"), "3": (None, "w")}
     with pytest.raises(ValueError, match="no file with a header"):
         R._csv(spark, str(tmp_path / "d.csv"))
+
+
+def test_only_lists_reach_the_reader_of_lists(spark, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("array<string>")
+    def counted(texts: pd.Series) -> pd.Series:
+        read.add(int(texts.notna().sum()))
+        return texts.map(lambda t: t and [t])
+
+    monkeypatch.setattr(R, "objects_of_list", lambda text, fields: counted(text))
+    rows = [('{"a": "x"}',), (None,), ("broken",), (' [{"a": "y"}]',)]
+    got = R.json_objects(spark.createDataFrame(rows, "j string"), "j", ["a"]).collect()
+    assert [(r.a, r.malformed) for r in got[:3]] == [("x", False), (None, True), (None, True)] and len(got) == 4
+    assert read.value == 1
