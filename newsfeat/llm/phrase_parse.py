@@ -1,12 +1,12 @@
 """Removal of long repeated byte strings by prefix-free parsing.
 
-A rolling hash triggers at about one position in 32, so equal passages are cut alike wherever
-they stand. A window of 200 bytes belongs to its first trigger, and all windows of a
-trigger lie in one context. The dictionary holds each distinct context once with its count. A
-context met twice repeats in all its windows; only contexts that share their core with
-another one are opened into window hashes. Windows without a trigger near their start are
-contexts of their own. Equality is all that removal needs, so contexts are grouped and the
-dictionary and the parse are not put into suffix order.
+A rolling hash triggers at about one position in 16, and at every position of a stretch without
+such a trigger, so equal passages are cut alike wherever they stand. A window of 200 bytes belongs
+to the lowest of the triggers that have their core in it, and all windows of a trigger lie in one
+context. The dictionary holds each distinct context once with its count. A context met twice
+repeats in all its windows; only contexts that share their core with another one are opened, into
+contexts of up to 16 windows and these into single windows, by the same rule. Equality is all that
+removal needs, so contexts are grouped and the dictionary and the parse are not put into suffix order.
 """
 
 from __future__ import annotations
@@ -19,67 +19,166 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsfeat.llm.common import split_by_key
 from newsfeat.llm.setsketch import _BYTE, _GOLD, _powers, mix
+from newsfeat.operators.joins import fits, lookup_join
 from newsfeat.session import ship_package, stored
 
 WINDOW = 200
-#: Bytes of a trigger, of a context's core, and the mean distance of triggers.
-TRIGGER, CORE, EVERY = 8, 40, 32
+#: Bytes of a trigger, of a context's core, the mean distance of triggers, and windows of an inner context.
+TRIGGER, CORE, EVERY, GROUP = 8, 40, 16, 16
+#: Windows of one trigger start at most so many bytes before it.
+SLACK = WINDOW - CORE
+#: Texts are hashed together up to about so many bytes.
+CHUNK = 1 << 19
 PAGE_BITS, PAGES = 32_768, 2_048
 
 
-class Parsed:
-    """The contexts of one text: trigger (or bare window) at `at`, windows lo..hi, hashes of core and context."""
+class Hashed:
+    """Hashes of all substrings of some bytes."""
 
     def __init__(self, data: bytes):
         b = np.frombuffer(data, np.uint8)
-        n = self.n = len(b)
-        none = np.zeros(0, np.int64)
-        self.total, self.at, self.lo, self.hi = np.zeros(1, np.uint64), none, none, none
-        self.core = self.context = np.zeros(0, np.int64)
-        if n < WINDOW:
-            return
-        _powers.need(n + 1)
-        self.total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[b] * _powers.up[:n], out=self.total[1:])
-        spots = np.arange(n - TRIGGER + 1)
-        t = np.flatnonzero(self.hashes(spots, spots + TRIGGER) & np.uint64(EVERY - 1) == 0)
-        t = t[t <= n - CORE]
-        before = np.concatenate([[-1], t[:-1]]) if len(t) else none
-        lo = np.maximum(before + 1, t - (WINDOW - CORE))
-        hi = np.minimum(t, n - WINDOW)
-        fine = lo <= hi
-        t, lo, hi = t[fine], lo[fine], hi[fine]
-        held = np.zeros(n - WINDOW + 2, np.int64)
-        np.add.at(held, lo, 1)
-        np.add.at(held, hi + 1, -1)
-        bare = np.flatnonzero(np.cumsum(held[:-1]) == 0)
-        core = self.hashes(t, t + CORE)
-        shape = mix(((t - lo).astype(np.uint64) << np.uint64(32)) | (hi - lo).astype(np.uint64))
-        context = mix(self.hashes(lo, hi + WINDOW) ^ shape)
-        alone = self.hashes(bare, bare + WINDOW) ^ _GOLD
-        self.at, self.lo, self.hi = (np.concatenate(x) for x in ((t, bare), (lo, bare), (hi, bare)))
-        self.core = np.concatenate([core, alone]).view(np.int64)
-        self.context = np.concatenate([context, alone]).view(np.int64)
-
-    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        self.n = len(b)
+        _powers.need(self.n + 1)
+        self.total = np.zeros(self.n + 1, np.uint64)
+        np.cumsum(_BYTE[b] * _powers.up[:self.n], out=self.total[1:])
+
+    def rolling(self) -> np.ndarray:
+        """An unmixed hash of the trigger at each position."""
+        last = max(0, self.n - TRIGGER + 1)
+        return (self.total[TRIGGER:] - self.total[:last]) * _powers.down[:last]
+
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.total[ends] - self.total[starts]) * _powers.down[starts])
 
+    def contexts(self, at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Hashes of windows lo..hi of the triggers."""
+        shape = mix(((at - lo).astype(np.uint64) << np.uint64(32)) | (hi - lo).astype(np.uint64))
+        return mix(self.spans(lo, hi + WINDOW) ^ shape)
+
+
+def _next_lower(value: np.ndarray, at: np.ndarray, equal: bool) -> np.ndarray:
+    """Of each position the place of the next one with a lower value, or an equal one where asked, as far as SLACK; else far off."""
+    n = len(value)
+    place, to = np.append(at, at[-1:] + 2 * SLACK), np.minimum(np.arange(1, n + 2), n)
+    value = np.append(value, np.uint64(0))
+    act = np.arange(n)
+    while len(act):
+        q = to[act]
+        higher = (value[q] > value[act]) if equal else (value[q] >= value[act])
+        act = act[higher & (q < n) & (place[q] - place[act] <= SLACK)]
+        to[act] = to[to[act]]  # all between are higher than the one that is left
+    return place[to[:n]]
+
+
+def parse(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Of each context the text's number, its place, and hashes of core and context.
+
+    A place has the first window's start in its text, the trigger's distance from it, and the number of windows but one.
+    """
+    hashed = Hashed(b"".join(texts))
+    size = np.array([len(x) for x in texts], np.int64)
+    ends = np.cumsum(size)
+    roll = hashed.rolling()
+    at = np.flatnonzero(roll < np.uint64(2**64 // EVERY))
+    edge = np.concatenate([[-1], at, [len(roll)]])
+    gaps = np.flatnonzero(np.diff(edge) > SLACK)
+    if len(gaps):
+        at = np.sort(np.concatenate([at, *(np.arange(edge[g] + 1, edge[g + 1]) for g in gaps)]))
+    value = roll[at]
+    # the first of equal ones is the lowest, so windows end before a lower one and begin after one as low
+    after = _next_lower(value, at, False)
+    before = -_next_lower(value[::-1], -at[::-1], True)[::-1]
+    text = np.minimum(np.searchsorted(ends, at, side="right"), len(texts) - 1)
+    lo = np.maximum(np.maximum(before + 1, at - SLACK), (ends - size)[text])
+    hi = np.minimum(np.minimum(after - SLACK - 1, at), ends[text] - WINDOW)
+    fine = lo <= hi
+    text, at, lo, hi = text[fine], at[fine], lo[fine], hi[fine]
+    core, context = hashed.spans(at, at + CORE), hashed.contexts(at, lo, hi)
+    return text, _place(at, lo, hi, (ends - size)[text]), core.view(np.int64), context.view(np.int64)
+
+
+def _place(at: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: np.ndarray | int = 0) -> np.ndarray:
+    return ((lo - base) << 16) | ((at - lo) << 8) | (hi - lo)
+
+
+def _ranges(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Trigger, first and last window of places."""
+    lo = place >> 16
+    return lo + ((place >> 8) & 255), lo, lo + (place & 255)
+
+
+def parse_inner(texts: list[bytes], text: np.ndarray, place: np.ndarray, step: int) -> tuple[np.ndarray, ...]:
+    """Of the contexts at the texts' places, cut into those of up to `step` windows: the outer one's number, place, core and context.
+
+    Single windows have no core of their own.
+    """
+    hashed = Hashed(b"".join(texts))
+    size = np.array([len(x) for x in texts], np.int64)
+    base = (np.cumsum(size) - size)[text]
+    at, lo, hi = (x + base for x in _ranges(place))
+    first, last = (at - hi) // step, (at - lo) // step
+    size = last - first + 1
+    outer = np.repeat(np.arange(len(place)), size)
+    group = first[outer] + np.arange(len(outer)) - (np.cumsum(size) - size)[outer]
+    at = at[outer]
+    # windows whose distance to the trigger falls into one group have these bytes in common
+    shared = at - group * step
+    lo, hi = np.maximum(lo[outer], shared - step + 1), np.minimum(hi[outer], shared)
+    context = hashed.contexts(at, lo, hi).view(np.int64)
+    if step == 1:
+        return outer, _place(at, lo, hi, base[outer]), np.zeros(len(outer), np.int64), context
+    core = hashed.spans(shared, shared - step + 1 + WINDOW) ^ mix(group.astype(np.uint64) + _GOLD)
+    return outer, _place(at, lo, hi, base[outer]), core.view(np.int64), context
+
+
+def _chunks(column: pa.Array, *others: pa.Array) -> Iterator[tuple]:
+    """The texts as bytes, with the others' cells, in runs of about CHUNK bytes."""
+    texts = column.cast(pa.binary()).to_pylist()
+    ends = np.cumsum([len(x) for x in texts]) // CHUNK
+    edges = np.flatnonzero(np.diff(ends, prepend=-1))
+    for a, b in zip(edges, [*edges[1:], len(texts)]):
+        yield texts[a:b], *(x.slice(a, b - a) for x in others)
+
 
 def contexts(texts: DataFrame) -> DataFrame:
-    """(tid, text) -> tid, spot (number of the context in its text), core, context: one row per context."""
+    """(tid, text) -> tid, place, core, context: one row per context."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some, tid in _chunks(batch.column("text"), batch.column("tid")):
+                text, place, core, context = parse(some)
+                yield pa.RecordBatch.from_arrays([tid.take(pa.array(text)), pa.array(place), pa.array(core), pa.array(context)],
+                                                 ["tid", "place", "core", "context"])
+
+    return texts.mapInArrow(run, "tid long, place long, core long, context long")
+
+
+def open_contexts(texts: DataFrame, step: int) -> DataFrame:
+    """(tid, text, open) -> tid, place, core, context, asks for the contexts of `step` windows within the open ones.
+
+    open: [(place, asks)]; a context that does not ask only shows its windows to those that do, once in a task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shown = set()
         for batch in batches:
-            for tid, cell in zip(batch.column("tid").to_pylist(), batch.column("text")):
-                p = Parsed(cell.as_py().encode())
-                if len(p.at):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([tid]).take(pa.array(np.zeros(len(p.at), np.int64))),
-                         pa.array(np.arange(len(p.at), dtype=np.int32)), pa.array(p.core), pa.array(p.context)],
-                        ["tid", "spot", "core", "context"])
+            for some, tid, spots in _chunks(batch.column("text"), batch.column("tid"), batch.column("open")):
+                fresh = []
+                for t in tid.to_pylist():
+                    fresh.append(t not in shown)
+                    shown.add(t)
+                flat = spots.flatten()
+                place, asks = (flat.field(name).to_numpy(zero_copy_only=False) for name in ("place", "asks"))
+                text = np.repeat(np.arange(len(some)), spots.value_lengths().to_numpy())
+                wanted = asks | np.array(fresh)[text]
+                text, place, asks = text[wanted], place[wanted], asks[wanted]
+                outer, place, core, context = parse_inner(some, text, place, step)
+                yield pa.RecordBatch.from_arrays([tid.take(pa.array(text[outer])), pa.array(place), pa.array(core), pa.array(context),
+                                                  pa.array(asks[outer])], ["tid", "place", "core", "context", "asks"])
 
-    return texts.mapInArrow(run, "tid string, spot int, core long, context long")
+    return texts.mapInArrow(run, "tid long, place long, core long, context long, asks boolean")
 
 
 def _slot(core: Column) -> Column:
@@ -87,7 +186,7 @@ def _slot(core: Column) -> Column:
 
 
 def _likely(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows whose core may be among the known ones, by a bitmap of at most 8 MB; the join that follows decides."""
+    """Rows whose core may be among the known ones, by a bitmap of at most 8 MB; others that pass do no harm."""
     slots = known.select(_slot(F.col("core")).alias("slot"))
     pages = stored(slots.groupBy(F.expr(f"slot div {PAGE_BITS}").alias("page")).agg(
         F.expr(f"bitmap_construct_agg(slot % {PAGE_BITS})").alias("bits")), "pages")
@@ -97,38 +196,52 @@ def _likely(rows: DataFrame, known: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(pages), "page").where(hit).drop("slot", "page", "bits")
 
 
-def open_windows(texts: DataFrame) -> DataFrame:
-    """(tid, text, open) -> tid, start, window, asks for each window of the open contexts.
+def _judge(spots: DataFrame, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """(tid, place of contexts met twice; tid, place, asks of those to be opened) of rows (tid, place, core, context, asks).
 
-    open: [(spot, asks)]; a context that does not ask only shows its windows to those that do.
+    A context met twice is opened, in one text, only for the others of its core. The last ones are single windows.
     """
+    twice = F.expr("count(*) > 1 OR NOT min(asks)").alias("twice")
+    if last:
+        known = stored(spots.groupBy("context").agg(twice).where("twice").select("context"), "dictionary")
+        return lookup_join(spots.where("asks"), known, "context", sieve=False).select("tid", "place"), None
+    known = stored(spots.groupBy("core", "context").agg(twice, F.min("tid").alias("who")), "dictionary")
+    cores = stored(known.groupBy("core").agg(F.expr("count(*) > 1 AND NOT min(twice)").alias("open")).where(
+        "open").select("core", "open"), "open-cores")
+    known = lookup_join(known, cores, "core", "left")
+    known = stored(known.where("twice OR open").select("context", "twice", "who", F.coalesce("open", F.lit(False)).alias("open")), "known")
+    met = stored(lookup_join(spots, known, "context", sieve=False).select(
+        "tid", "place", (F.col("twice") & F.col("asks")).alias("full"),
+        F.expr("open AND (NOT twice OR who = tid)").alias("open"), (~F.col("twice")).alias("asks")), "met")
+    return met.where("full").select("tid", "place"), met.where("open").select("tid", "place", "asks")
+
+
+def _cut(data: bytes, gone: list[dict]) -> tuple[bytes, int]:
+    """The bytes that stay, and the number of removed runs; `gone` is in order and apart."""
+    kept, at = [], 0
+    for run in gone:
+        kept.append(data[at:run["lo"]])
+        at = run["hi"]
+    return b"".join([*kept, data[at:]]), len(gone)
+
+
+def _merged(marks: DataFrame) -> DataFrame:
+    """tid, gone: the byte ranges that windows at the places cover, as [(lo, hi)] in order and apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tid, cell, spots in zip(batch.column("tid").to_pylist(), batch.column("text"),
-                                        batch.column("open").to_pylist()):
-                p = Parsed(cell.as_py().encode())
-                spot = np.array([s["spot"] for s in spots], np.int64)
-                asks = np.array([s["asks"] for s in spots], bool)
-                size = p.hi[spot] - p.lo[spot] + 1
-                start = np.repeat(p.lo[spot] - np.cumsum(size) + size, size) + np.arange(size.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([tid]).take(pa.array(np.zeros(len(start), np.int64))), pa.array(start.astype(np.int32)),
-                     pa.array(p.hashes(start, start + WINDOW).view(np.int64)), pa.array(np.repeat(asks, size))],
-                    ["tid", "start", "window", "asks"])
-
-    return texts.mapInArrow(run, "tid string, start int, window long, asks boolean")
-
-
-def _cut(data: bytes, parsed: Parsed, full: list[int], starts: list[int]) -> tuple[bytes, int]:
-    """The bytes that stay, and the number of removed runs."""
-    mark = np.zeros(parsed.n + 1, np.int64)
-    spot, start = np.array(full, np.int64), np.array(starts, np.int64)
-    np.add.at(mark, np.concatenate([parsed.lo[spot], start]), 1)
-    np.add.at(mark, np.concatenate([parsed.hi[spot] + WINDOW, start + WINDOW]), -1)
-    gone = np.cumsum(mark[:-1]) > 0
-    runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
-    return np.frombuffer(data, np.uint8)[~gone].tobytes(), runs
+            out = []
+            for places in batch.column("places"):
+                _, lo, hi = _ranges(np.sort(places.values.to_numpy()))
+                hi = np.maximum.accumulate(hi + WINDOW)
+                first = np.flatnonzero(np.append(True, lo[1:] > hi[:-1]))
+                ends = hi[np.append(first[1:] - 1, len(hi) - 1)]
+                out.append([{"lo": a, "hi": b} for a, b in zip(lo[first].tolist(), ends.tolist())])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("tid"), pa.array(out, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))], ["tid", "gone"])
+
+    grouped = marks.groupBy("tid").agg(F.collect_set("place").alias("places"))
+    return grouped.mapInArrow(run, "tid long, gone array<struct<lo: int, hi: int>>")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
@@ -141,39 +254,25 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     ship_package(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("tid", F.sha2("text", 256))
+    rows = rows.withColumn("tid", F.xxhash64("text"))
     parts = contexts(rows.where(F.octet_length("text") >= WINDOW).select("tid", "text"))
     # cores alone in the corpus are out before anything else is kept of them
     again = stored(parts.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "cores")
-    spots = stored(_likely(parts, again).join(again, "core", "left_semi").withColumn("own", F.xxhash64("tid")), "spots")
-    dictionary = spots.groupBy("core", "context").agg(F.count("*").alias("n"), F.min("own").alias("who"))
-    dictionary = stored(dictionary, "dictionary")
-    cores = dictionary.groupBy("core").agg((F.expr("count(*) > 1 AND min(n) = 1")).alias("open"))
-    known = dictionary.join(cores, "core")
-    spots = spots.join(known, ["core", "context"])
-    full, shows = F.expr("n > 1"), F.expr("open AND (n = 1 OR who = own)")
-    marks = stored(spots.groupBy("tid").agg(
-        F.collect_set(F.when(full, F.col("spot"))).alias("full"),
-        F.collect_set(F.when(shows, F.struct("spot", (F.col("n") == 1).alias("asks")))).alias("open")), "marks")
-
-    asking = marks.where("size(open) > 0").select("tid", "open")
-    one = rows.join(asking, "tid").groupBy("tid").agg(F.first("text").alias("text"), F.first("open").alias("open"))
-    windows = stored(open_windows(one.select("tid", "text", "open")), "windows")
-    twice = windows.groupBy("window").agg(F.count("*").alias("n"), F.min("asks").alias("asks")).where(
-        "n > 1 OR NOT asks").select("window")
-    starts = windows.where("asks").join(twice, "window").groupBy("tid").agg(F.collect_list("start").alias("starts"))
-    found = stored(marks.select("tid", "full").join(starts, "tid", "left").where(
-        "size(full) > 0 OR starts IS NOT NULL"), "found")
+    spots = stored(_likely(parts, again).withColumn("asks", F.lit(True)), "spots")
+    full, opened = _judge(spots)
+    marks = [full]
+    for step in (GROUP, 1):
+        asking = stored(opened.groupBy("tid").agg(F.collect_set(F.struct("place", "asks")).alias("open")), "open")
+        spots = stored(open_contexts(lookup_join(rows.select("tid", "text"), asking, "tid"), step), "spots")
+        full, opened = _judge(spots, last=step == 1)
+        marks.append(full)
+    found = stored(_merged(marks[0].unionByName(marks[1]).unionByName(marks[2])), "found")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, left, spans, digests, kept = [], [], [], [], []
-            for cell, full, starts in zip(batch.column("text"), batch.column("full").to_pylist(),
-                                          batch.column("starts").to_pylist()):
-                data = stay = cell.as_py().encode()
-                n = 0
-                if full or starts:
-                    stay, n = _cut(data, Parsed(data), full or [], starts or [])
+            for data, gone in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("gone").to_pylist()):
+                stay, n = _cut(data, gone) if gone else (data, 0)
                 sizes.append(len(data))
                 left.append(len(data) - len(stay))
                 spans.append(n)
@@ -188,5 +287,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
 
     schema = (f"key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
               + (", kept binary" if with_text else ""))
-    out = rows.join(found, "tid", "left").select("key", "text", "full", "starts")
-    return out.mapInArrow(cut, schema).withColumnRenamed("key", key)
+    small = fits(found)
+    # texts that surely lose nothing are not moved
+    some, whole = (rows, None) if small else split_by_key(rows, found, "tid")
+    out = lookup_join(some, found, "tid", "left", small_fits=small)
+    if whole is not None:
+        out = out.unionByName(whole.withColumn("gone", F.lit(None).cast(out.schema["gone"].dataType)))
+    return out.select("key", "text", "gone").mapInArrow(cut, schema).withColumnRenamed("key", key)

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -263,6 +264,33 @@ def test_repeats_like_brute_force(spark):
     assert phrase_parse.remove_repeats(df.where("false")).count() == 0
 
 
+def test_repeats_within_open_contexts(spark):
+    """Texts that share parts of a context: one on each side of its core, one inside, and copies that only show them."""
+    random.seed(8)
+    word = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    base = word(600)
+    texts = [base, base] + [word(50) + base[a:b] + word(60) for a, b in ((0, 230), (100, 301), (101, 300), (99, 299), (340, 600))]
+    texts += [base[:250] + "X" + base[250:], word(300) + base[150:349] + word(300), "é" * 150 + base[:210] + "é" * 150]
+    data = [t.encode() for t in texts]
+    count = Counter(b[i:i + 200] for b in data for i in range(len(b) - 199))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    for r in phrase_parse.remove_repeats(df, with_text=True).collect():
+        b, gone = data[r.doc_id], set()
+        for i in range(len(b) - 199):
+            if count[b[i:i + 200]] > 1:
+                gone |= set(range(i, i + 200))
+        assert bytes(r.kept) == bytes(x for i, x in enumerate(b) if i not in gone) and r.n_removed == len(gone)
+
+
+def test_parse_has_few_contexts(spark):
+    """About one context in 80 bytes, also in texts that no trigger meets; it was one in 27, and one a byte without a trigger."""
+    random.seed(9)
+    texts = ["".join(random.choice("abcdefghijklmnop ") for _ in range(60_000)), "lorem ipsum dolor " * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "tid long, text string")
+    for r in phrase_parse.contexts(df).groupBy("tid").count().collect():
+        assert r["count"] < len(texts[r.tid]) / (70 if r.tid == 0 else 17)
+
+
 def test_transducer_like_the_library(spark, docs):
     path = public_tokenizers.path("word_bpe_49k.json")
     plain, merges = Tokenizer.from_file(path), stream_bpe.Merges(path)
