@@ -82,11 +82,22 @@ def leaves(paths: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros(min(1, len(paths)), np.uint8), same]).astype(np.uint8)
 
 
-def pack(paths: np.ndarray, weights: np.ndarray, words: np.ndarray) -> bytes:
-    """The automaton of sorted distinct paths: words by number, then of each path the shared steps, the own ones and the weight."""
-    used = np.unique(paths)
+def pack(paths: np.ndarray, weights: np.ndarray, words: np.ndarray, place: np.ndarray | None = None) -> bytes:
+    """The automaton of sorted distinct paths: words by number, then of each path the shared steps, the own ones and the weight.
+
+    `place` is room for a number of each word, which callers with many automata pass on.
+    """
+    place = np.zeros(len(words), np.int32) if place is None else place
+    if paths.size > len(words):
+        seen = np.zeros(len(words), bool)
+        seen[paths] = True
+        used = np.flatnonzero(seen)
+    else:
+        used = np.unique(paths)
     used = used[used > 0]
-    own = (np.searchsorted(used, paths) + 1) * (paths > 0)
+    place[used] = np.arange(1, len(used) + 1)
+    place[0] = 0
+    own = place[paths]
     shared = leaves(paths)
     steps = own[np.arange(paths.shape[1])[None, :] >= shared[:, None]]
     kind = np.uint16 if len(used) < 65_535 else np.uint32
@@ -94,12 +105,13 @@ def pack(paths: np.ndarray, weights: np.ndarray, words: np.ndarray) -> bytes:
     named = b"\xff".join(words[used])
     head = np.array([paths.shape[1], len(paths), len(steps), len(named), kind is np.uint32, light is np.int64], np.int64)
     body = [head.tobytes(), named, shared.tobytes(), steps.astype(kind).tobytes(), weights.astype(light).tobytes()]
-    return zlib.compress(b"".join(body), 1)
+    body = b"".join(body)
+    return len(body).to_bytes(8, "little") + pa.compress(body, "zstd", asbytes=True)
 
 
 def unpack(data: bytes, numbers: dict) -> tuple[np.ndarray, np.ndarray]:
     """Paths, by the numbers of a common vocabulary, and weights."""
-    data = zlib.decompress(data)
+    data = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
     width, rows, steps, named, wide, heavy = np.frombuffer(data, np.int64, 6).tolist()
     at = 48 + named
     words = data[48:at].split(b"\xff")
@@ -119,7 +131,7 @@ def unpack(data: bytes, numbers: dict) -> tuple[np.ndarray, np.ndarray]:
 def shard_automata(ids: np.ndarray, starts: int, words: np.ndarray, hashes: np.ndarray,
                    ranges: int) -> Iterator[tuple[int, int, bytes]]:
     """(kind, range, automaton) of the n-grams that begin at the first `starts` of the ids; kind is the number of dealt words."""
-    ids = np.concatenate([ids, np.zeros(LONGEST, ids.dtype)])
+    ids, place = np.concatenate([ids, np.zeros(LONGEST, ids.dtype)]), np.zeros(len(words), np.int32)
     paths = np.zeros((starts, LONGEST), np.int32)
     paths[:, 0] = ids[:starts]
     for k in range(1, LONGEST):
@@ -136,7 +148,7 @@ def shard_automata(ids: np.ndarray, starts: int, words: np.ndarray, hashes: np.n
         edges = np.flatnonzero(np.diff(dealt[order], prepend=-1))
         for a, b in zip(edges, [*edges[1:], len(order)]):
             rows = order[a:b]
-            yield kind, int(dealt[rows[0]]), pack(distinct[rows], weights[rows], words)
+            yield kind, int(dealt[rows[0]]), pack(distinct[rows], weights[rows], words, place)
 
 
 def count_shards(docs: DataFrame, ranges: int) -> DataFrame:
@@ -205,11 +217,11 @@ def unite(automata: DataFrame, least: int) -> DataFrame:
             for depth in range(kind, (LONGEST if kind == 3 else kind) + 1):
                 begin = np.flatnonzero(shared < depth)  # a state of this depth; all paths through it follow
                 through = np.add.reduceat(weights, begin)
-                for at, n in zip(begin, through):
-                    if n >= least and paths[at, depth - 1] > 0:
-                        size.append(depth)
-                        phrase.append(b" ".join(words[i] for i in paths[at, :depth]))
-                        f.append(int(n))
+                often = (through >= least) & (paths[begin, depth - 1] > 0)
+                for path, n in zip(paths[begin[often], :depth].tolist(), through[often].tolist()):
+                    size.append(depth)
+                    phrase.append(b" ".join([words[i] for i in path]))
+                    f.append(n)
         return pa.table({"lang": pa.array([lang] * len(size), pa.string()), "words": pa.array(size, pa.int32()),
                          "phrase": pa.array(phrase, pa.string()), "f": pa.array(f, pa.int64())})
 

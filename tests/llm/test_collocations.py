@@ -90,6 +90,21 @@ def test_automata_keep_their_paths_and_weights():
     assert (collocations.add_up(wide[::-1], weights[::-1])[0] == wide).all()
 
 
+def test_automata_of_one_shard_share_the_room_for_numbers():
+    """With more and with fewer steps than words, and after an automaton of other words; counts of rare states stay exact."""
+    words = np.array([b"\xff", *(f"w{i}".encode() for i in range(1, 40))], object)
+    place = np.zeros(len(words), np.int32)
+    few = np.array([[7, 3, 0], [38, 39, 2]], np.int32)
+    many = np.array([[a, b, 0 if b % 3 else a] for a in range(1, 9) for b in range(1, 7)], np.int32)
+    for paths in (many, few, many[::5], few[:1]):
+        paths, weights = collocations.add_up(paths, np.arange(1, len(paths) + 1))
+        numbers = collocations._Numbers()
+        back, same = collocations.unpack(collocations.pack(paths, weights, words, place), numbers)
+        named = list(numbers)
+        assert [[named[i] for i in p] for p in back] == [[words[i] for i in p] for p in paths]
+        assert same.tolist() == weights.tolist()
+
+
 @pytest.mark.parametrize("text", ["w " * 2_000_000, "x" * 6_000_000, "a b. " * 1_000_000])
 def test_very_long_texts(spark, text):
     n = len(re.findall("[^ .]+", text))
