@@ -50,7 +50,7 @@ def training_table(tokens: DataFrame, labelled: DataFrame, bi_grams: DataFrame,
         bi_grams.drop(*DROP_BI_GRAMS),
         topics.drop(*DROP_TOPICS),
     ]
-    return add_features(merge_on(frames, "_guid"), lexicon, zone=zone).drop(*DROP_FINAL)
+    return add_features(merge_on(frames, "_guid", derived=True), lexicon, zone=zone).drop(*DROP_FINAL)
 
 
 def training_rows(df: DataFrame, x_cols: list[str], y_cols: list[str]) -> DataFrame:

@@ -135,3 +135,18 @@ def test_merge_on_measures_nothing(spark, sides, monkeypatch):
     monkeypatch.setattr(J, "fits", lambda *a, **k: pytest.fail("a frame was measured"))
     third = small.select("k", F.col("w").alias("x"))
     assert rows(J.merge_on([big, small, third], "k", hot_rows=5)) == rows(big.join(small, "k").join(third, "k"))
+
+
+def test_a_derived_first_frame_is_computed_once(spark):
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    first = spark.range(40).selectExpr("id % 8 AS k", "id AS a").mapInArrow(count, "k long, a long")
+    other = spark.createDataFrame([(k, -k) for k in range(4)] + [(None, 1)], "k long, b long")
+    got = J.merge_on([first, other], "k", derived=True).collect()
+    assert rows.value == 40
+    assert sorted(map(tuple, got)) == sorted((i % 8, i, -(i % 8)) for i in range(40) if i % 8 < 4)
