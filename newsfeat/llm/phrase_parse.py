@@ -185,35 +185,45 @@ def _slot(core: Column) -> Column:
     return F.pmod(core, F.lit(PAGE_BITS * PAGES))
 
 
-def _likely(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows whose core may be among the known ones, by a bitmap of at most 8 MB; others that pass do no harm."""
-    slots = known.select(_slot(F.col("core")).alias("slot"))
+def _likely(rows: DataFrame, known: DataFrame, key: str = "core") -> DataFrame:
+    """Rows whose key may be among the known ones, by a bitmap of at most 8 MB; others that pass do no harm."""
+    slots = known.select(_slot(F.col(key)).alias("slot"))
     pages = stored(slots.groupBy(F.expr(f"slot div {PAGE_BITS}").alias("page")).agg(
         F.expr(f"bitmap_construct_agg(slot % {PAGE_BITS})").alias("bits")), "pages")
-    rows = rows.withColumn("slot", _slot(F.col("core"))).withColumn("page", F.expr(f"slot div {PAGE_BITS}"))
+    rows = rows.withColumn("slot", _slot(F.col(key))).withColumn("page", F.expr(f"slot div {PAGE_BITS}"))
     byte = F.conv(F.hex(F.expr(f"substring(bits, cast((slot % {PAGE_BITS}) div 8 as int) + 1, 1)")), 16, 10)
     hit = byte.cast("int").bitwiseAND(F.expr("shiftleft(1, cast(slot % 8 as int))")) != 0
     return rows.join(F.broadcast(pages), "page").where(hit).drop("slot", "page", "bits")
 
 
+def _shared(spots: DataFrame) -> DataFrame:
+    """Spots whose core stands at two spots or more, and a few others; those alone with their core repeat nothing."""
+    again = spots.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    return _likely(spots, stored(again, "cores"))
+
+
 def _judge(spots: DataFrame, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """(tid, place of contexts met twice; tid, place, asks of those to be opened) of rows (tid, place, core, context, asks).
 
-    A context met twice is opened, in one text, only for the others of its core. The last ones are single windows.
+    A context met twice is opened, at one spot, only for the others of its core. The last ones are single windows.
     """
     twice = F.expr("count(*) > 1 OR NOT min(asks)").alias("twice")
     if last:
         known = stored(spots.groupBy("context").agg(twice).where("twice").select("context"), "dictionary")
-        return lookup_join(spots.where("asks"), known, "context", sieve=False).select("tid", "place"), None
-    known = stored(spots.groupBy("core", "context").agg(twice, F.min("tid").alias("who")), "dictionary")
+        asking = _likely(spots.where("asks").select("tid", "place", "context"), known, "context")
+        return lookup_join(asking, known, "context", sieve=False).select("tid", "place"), None
+    known = stored(spots.groupBy("core", "context").agg(twice), "dictionary")
     cores = stored(known.groupBy("core").agg(F.expr("count(*) > 1 AND NOT min(twice)").alias("open")).where(
         "open").select("core", "open"), "open-cores")
     known = lookup_join(known, cores, "core", "left")
-    known = stored(known.where("twice OR open").select("context", "twice", "who", F.coalesce("open", F.lit(False)).alias("open")), "known")
-    met = stored(lookup_join(spots, known, "context", sieve=False).select(
-        "tid", "place", (F.col("twice") & F.col("asks")).alias("full"),
-        F.expr("open AND (NOT twice OR who = tid)").alias("open"), (~F.col("twice")).alias("asks")), "met")
-    return met.where("full").select("tid", "place"), met.where("open").select("tid", "place", "asks")
+    known = stored(known.where("twice OR open").select("context", "twice", F.coalesce("open", F.lit(False)).alias("open")), "known")
+    met = stored(lookup_join(spots.select("tid", "place", "context", "asks"), known, "context", sieve=False).select(
+        "tid", "place", (F.col("twice") & F.col("asks")).alias("full"), (F.col("open") & ~F.col("twice")).alias("alone"),
+        F.expr("CASE WHEN open AND twice THEN context END").alias("shows")), "met")
+    one = met.where("shows IS NOT NULL").groupBy("shows").agg(F.min(F.struct("tid", "place")).alias("at"))
+    opened = met.where("alone").select("tid", "place", F.lit(True).alias("asks")).unionByName(
+        one.select("at.tid", "at.place", F.lit(False).alias("asks")))
+    return met.where("full").select("tid", "place"), opened
 
 
 def _cut(data: bytes, gone: list[dict]) -> tuple[bytes, int]:
@@ -257,14 +267,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     rows = rows.withColumn("tid", F.xxhash64("text"))
     parts = contexts(rows.where(F.octet_length("text") >= WINDOW).select("tid", "text"))
     # cores alone in the corpus are out before anything else is kept of them
-    again = stored(parts.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "cores")
-    spots = stored(_likely(parts, again).withColumn("asks", F.lit(True)), "spots")
+    spots = stored(_shared(parts).withColumn("asks", F.lit(True)), "spots")
     full, opened = _judge(spots)
     marks = [full]
     for step in (GROUP, 1):
         asking = stored(opened.groupBy("tid").agg(F.collect_set(F.struct("place", "asks")).alias("open")), "open")
         spots = stored(open_contexts(lookup_join(rows.select("tid", "text"), asking, "tid"), step), "spots")
-        full, opened = _judge(spots, last=step == 1)
+        full, opened = _judge(spots if step == 1 else _shared(spots), last=step == 1)
         marks.append(full)
     found = stored(_merged(marks[0].unionByName(marks[1]).unionByName(marks[2])), "found")
 
