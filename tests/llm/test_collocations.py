@@ -111,3 +111,35 @@ def test_very_long_texts(spark, text):
     rows = collocations.collocations(spark.createDataFrame([("en", text)], "lang string, text string")).collect()
     assert all(r.n == n and r.rank == i for i, r in enumerate(sorted(rows, key=lambda r: r["rank"]), 1))
     assert ("a b" in {r.phrase for r in rows}) == text.startswith("a b")
+
+
+@pytest.mark.parametrize("known", [3, 1 << 18])
+def test_few_and_all_words_known(spark, monkeypatch, known):
+    """With room for few of the frequent words the others are spelled in the automata; results are the same."""
+    for name, value in (("KNOWN", known), ("SHARD", 40), ("RANGE", 700)):
+        monkeypatch.setattr(collocations, name, value)
+    rows = rows_of(50)
+    got = sorted(tuple(r) for r in collocations.collocations(frame(spark, rows), least=3, top=20).collect())
+    assert got == plain(rows, 3, 20)
+
+
+def test_rare_words_are_not_dealt_with_longer_runs(spark):
+    """Runs of two and more words end at words too rare for a phrase, and known words are not spelled; all was spelled and dealt before."""
+    rows = [("en", " ".join(f"often w{i} often also" for i in range(200)))]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    frequent = collocations.Frequent([("en", "often"), ("en", "also"), ("de", "w7")], True)
+    got = collocations.count_shards(df, 1, (2, 3), frequent).collect()
+    paths = {r["kind"]: collocations.unpack(r["automaton"], collocations._Numbers(frequent.words), 3) for r in got}
+    assert {r["kind"] for r in got} == {2, 3} and not any(b"w1" in r["automaton"] for r in got)
+    assert paths[2][0].tolist() == [[1, 2], [2, 1]] and paths[2][1].tolist() == [200, 199]
+    assert {tuple(p) for p in paths[3][0].tolist()} == {(1, 2, 1, 0, 0)}
+
+
+def test_automata_with_known_words_keep_their_paths_and_weights():
+    rng = np.random.default_rng(0)
+    for n, width, last, known in ((0, 2, 5, 0), (1, 1, 1, 0), (1, 5, 3, 2), (900, 3, 9, 4), (3000, 5, 70_000, 60_000), (3000, 2, 70_000, 70_000)):
+        paths, weights = collocations.add_up(rng.integers(0, last + 1, (n, width)).astype(np.int32), rng.integers(1, 90_000, n))
+        words = np.array([b"\xff", *(b"%d" % i for i in range(1, last + 1))], object)
+        numbers = collocations._Numbers(words[1:known + 1].tolist())
+        back, same = collocations.unpack(collocations.pack(paths, weights, words, None, known), numbers, known)
+        assert (np.array(list(numbers), object)[back] == words[paths]).all() and (same == weights).all()
