@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsfeat.checks.corpus_checks import DOCS, VOCAB_SQL, WEIGHT, bi_gram_term_vocabulary, token_vocabulary
+from newsfeat.checks.corpus_checks import DOCS, VOCAB_SQL, WEIGHT, bi_gram_term_vocabulary, stored_lists, token_vocabulary
 from newsfeat.checks.feature_checks import pattern_sql
 from newsfeat.checks.fixtures import (ARTICLES_SQL, DOCS_SQL, LABELLED_SQL, TEST_IDS_SQL, articles, docs, labelled,
                                       table, test_ids, token_ctes)
@@ -158,9 +158,10 @@ UNION ALL SELECT doc_id, NULL, NULL FROM docs""")
 def w5_wide(spark, sf):
     """One sparse row per document, opened into its terms; a row without term for every document shows that none is lost."""
     d = docs(spark, sf)
-    tokens, grams = token_vocabulary(d), bi_gram_term_vocabulary(d)
+    lists = stored_lists(d)
+    tokens, grams = token_vocabulary(d, lists), bi_gram_term_vocabulary(d, lists)
     places = W.term_places(tokens, grams)
-    weights = W.combined_weights(d, ["doc_id"], tokens, N_TOKENS, grams, N_GRAMS, stem=False)
+    weights = W.combined_weights(d, ["doc_id"], tokens, N_TOKENS, grams, N_GRAMS, stem=False, lists=lists)
     wide = stored(W.sparse_for(d.select("doc_id"), weights, "doc_id", places), "wide")
     terms = W.long_form(wide, ["doc_id"], places).withColumn("tfidf", F.round("tfidf", 6))
     return terms.unionByName(wide.select("doc_id", F.lit(None).cast("string").alias("term"),
@@ -310,7 +311,8 @@ def _tokens(text: str) -> str:
 def l1(spark, sf):
     """All features of new articles, with the weights per term and their sums per kind."""
     d = docs(spark, sf)
-    tokens, grams = token_vocabulary(d), bi_gram_term_vocabulary(d)
+    lists = stored_lists(d)
+    tokens, grams = token_vocabulary(d, lists), bi_gram_term_vocabulary(d, lists)
     scored, places = scoring.score_weights(articles(spark, sf), tokens, grams, words(spark, sf), stem=False)
     scored = stored(scored, "scored")
     fixed = ["guid", "journal.code", "date.time", "organizations.codes", "topics.codes", "story.title", "story.body",

@@ -28,12 +28,16 @@ bg_vocab AS (SELECT g1 || '.' || g2 AS term, count(*) AS df FROM bg_counts GROUP
 WEIGHT = "(1 + ln(tf)) * ln(1 + {n} // df)"
 
 
-def token_vocabulary(d):
-    return stored(C.band_vocabulary(d, stem=False), "token-vocabulary")
+def token_vocabulary(d, lists=None):
+    return stored(C.band_vocabulary(d, stem=False, lists=lists), "token-vocabulary")
 
 
-def bi_gram_term_vocabulary(d):
-    return stored(C.band_vocabulary(d, n=2, stem=False), "bi-gram-vocabulary")
+def bi_gram_term_vocabulary(d, lists=None):
+    return stored(C.band_vocabulary(d, n=2, stem=False, lists=lists), "bi-gram-vocabulary")
+
+
+def stored_lists(d):
+    return stored(C.token_lists(d, ["doc_id"], stem=False), "token-lists")
 
 
 @query("t1_tokenize", f"SELECT doc_id, array_to_string({tokens_sql('text')}, ' ') AS tokens FROM documents")

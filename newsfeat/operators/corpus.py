@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsfeat.functions.cleaning import lead_and_body
+from newsfeat.functions.grams import counts_in_lists, cut, slices, word_codes
 from newsfeat.functions.stem import stem_tokens
 from newsfeat.functions.tokens import STOP_WORDS, count_terms, ngrams, term_counts, tokenize
 from newsfeat.operators.joins import fits, lookup_join
@@ -26,6 +29,10 @@ MIN_COUNT = 5
 # A part of a band search ends at so many documents or at so many terms, whichever comes first.
 PART_DOCUMENTS, PART_TERMS = 50_000, 2_000_000
 
+# So many tokens are counted at once where counts are made per document, and a list of wanted terms goes to the
+# tasks up to this length.
+SLICE_TERMS, SIEVE_TERMS = 200_000, 200_000
+
 
 def not_labelled(articles: DataFrame, labelled: DataFrame, article_id: str, labelled_id: str,
                  max_rows: int | None = None) -> DataFrame:
@@ -172,58 +179,115 @@ def distinct_terms(docs: DataFrame, text: str = "body", n: int = 1, stem: bool =
     return with_text(docs, text).select(F.array_distinct(terms).alias("terms"))
 
 
-def local_candidates(terms: DataFrame, share: float, documents: int | None = None,
-                     most_terms: int | None = None) -> DataFrame:
-    """`term`: those that some part of the documents holds in at least `share` of its own documents.
+def token_lists(docs: DataFrame, id_cols: list[str], text: str = "body", stem: bool = True,
+                stop_words: list[str] = STOP_WORDS) -> DataFrame:
+    """id columns and `tokens` of each document with a text; store them where several steps read them."""
+    return with_text(docs, text).select(*id_cols, tokens_of(F.col(text), stem, stop_words).alias("tokens"))
+
+
+def term_sieve(terms: DataFrame) -> pa.Array | None:
+    """The terms as a list for Python tasks, which need not hand on others; None where they are too many.
+
+    It only spares rows: what the tasks hand on is still joined with the terms.
+    """
+    few = terms.select("term").where("term IS NOT NULL").limit(SIEVE_TERMS + 1).toArrow().column("term").combine_chunks()
+    few = few if isinstance(few, pa.Array) else pa.concat_arrays(few.chunks)
+    return few if len(few) <= SIEVE_TERMS else None
+
+
+def part_counts(lists: DataFrame, n: int = 1, share: float = 0.0, documents: int | None = None,
+                most_terms: int | None = None, wanted: pa.Array | None = None) -> DataFrame:
+    """`term`, `df`: for each part of the documents the n-grams of their lists that at least `share` of the part holds.
 
     A part is a run of documents in one task, so nothing is shuffled and a task holds the terms of one part.
-    A term in a share of all documents is in that share of at least one part, however they are cut.
+    An n-gram is in no more documents than each of its words, so words below `share` are left out before n-grams are
+    made. With a list of `wanted` n-grams only these are counted.
     """
     documents, most_terms = documents or PART_DOCUMENTS, most_terms or PART_TERMS
+    ship_package(lists.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, size = [], 0, 0
 
-        def often() -> pa.RecordBatch:
-            counted = pc.value_counts(pa.chunked_array(held))
+        def counted() -> pa.RecordBatch:
+            coded = word_codes(pa.concat_arrays(held))
             # the least below it, as the product may round up
-            keep = pc.greater_equal(counted.field("counts"), share * rows * (1 - 1e-9))
-            return pa.RecordBatch.from_arrays([counted.field("values").filter(keep)], ["term"])
+            often = lambda grams, names: np.bincount(grams, minlength=len(names)) >= share * rows * (1 - 1e-9)
+            masks = None
+            if share > 0 and n > 1:
+                _, words, _, texts = counts_in_lists(*coded)
+                masks = [often(words, texts)] * n
+            _, grams, _, names = counts_in_lists(*coded, n, masks, wanted)
+            df = np.bincount(grams, minlength=len(names))
+            keep = pa.array(often(grams, names) & (df > 0))
+            return pa.RecordBatch.from_arrays([names.filter(keep), pa.array(df).filter(keep)], ["term", "df"])
 
         for batch in batches:
             lists = batch.column(0)
             at = 0
             while at < len(lists):
-                some = lists.slice(at, documents - rows)
-                ends = pc.cumulative_sum(pc.list_value_length(some)).to_numpy()
-                some = some.slice(0, max(1, int((ends + size <= most_terms).sum())))
+                some = cut(lists.slice(at), documents - rows, most_terms - size)
                 at += len(some)
-                held.append(some.flatten())
-                rows, size = rows + len(some), size + len(held[-1])
+                held.append(some)
+                rows, size = rows + len(some), size + (pc.sum(pc.list_value_length(some)).as_py() or 0)
                 if rows >= documents or size >= most_terms:
-                    yield often()
+                    yield counted()
                     held, rows, size = [], 0, 0
         if held:
-            yield often()
+            yield counted()
 
-    return terms.select("terms").mapInArrow(run, "term string").where("term IS NOT NULL")
+    return lists.mapInArrow(run, "term string, df bigint").where("term IS NOT NULL")
+
+
+def local_candidates(terms: DataFrame, share: float, documents: int | None = None,
+                     most_terms: int | None = None, n: int = 1) -> DataFrame:
+    """`term`: n-grams of the one list column that some part of the documents holds in at least `share` of its own documents.
+
+    A term in a share of all documents is in that share of at least one part, however they are cut.
+    """
+    return part_counts(terms, n, share, documents, most_terms).select("term")
 
 
 def band_vocabulary(docs: DataFrame, text: str = "body", n: int = 1, stem: bool = True,
                     stop_words: list[str] = STOP_WORDS, size: int | None = None, low: float = BAND_LOW,
-                    high: float = BAND_HIGH, documents: int | None = None, max_rows: int | None = None) -> DataFrame:
-    """term, df of tokens (n=1) or n-grams inside the band, exact, in two passes over stored term lists.
+                    high: float = BAND_HIGH, documents: int | None = None, max_rows: int | None = None,
+                    lists: DataFrame | None = None) -> DataFrame:
+    """term, df of tokens (n=1) or n-grams inside the band, exact, in two passes over stored token lists.
 
-    The first pass names the terms that reach the band in some part of the documents, the second counts only these:
-    no term below the band in every part is shuffled. `size` stands for the number of documents, where given.
+    The first pass names the terms that reach the band in some part of the documents, the second adds up the counts that
+    the parts have for these: no term below the band in every part is shuffled. `size` stands for the number of
+    documents, where given, `lists` are the stored `token_lists` of `docs`, where the caller has them.
     """
-    terms = stored(distinct_terms(docs, text, n, stem, stop_words), "terms")
+    if lists is None:
+        lists = stored(token_lists(docs, [], text, stem, stop_words), "token-lists")
+    lists = lists.select("tokens")
     whole = docs.count() if size is None else size
     # of the documents with a text, as parts are made of these
-    share = low * whole / max(1, terms.count())
-    candidates = stored(local_candidates(terms, share, documents).distinct(), "candidates")
-    found = lookup_join(terms.select(F.explode("terms").alias("term")), candidates, "term", max_rows=max_rows)
-    return band(document_frequency(found, ["term"]), whole, low, high)
+    share = low * whole / max(1, lists.count())
+    candidates = stored(local_candidates(lists, share, documents, n=n).distinct(), "candidates")
+    counts = part_counts(lists, n, documents=documents, wanted=term_sieve(candidates))
+    found = lookup_join(counts, candidates, "term", max_rows=max_rows, derived=True)
+    return band(found.groupBy("term").agg(F.sum("df").alias("df")), whole, low, high)
+
+
+def listed_counts(lists: DataFrame, id_cols: list[str], sizes: tuple[int, ...] = (1,),
+                  wanted: pa.Array | None = None) -> DataFrame:
+    """id columns, term, tf: the n-grams of the stated sizes in each list of `tokens`, or only the wanted ones; map-only."""
+    ship_package(lists.sparkSession)
+    lists = lists.select(*id_cols, "tokens")
+    fields = [*lists.schema.fields[:-1], T.StructField("term", T.StringType()), T.StructField("tf", T.LongType())]
+    names = [f.name for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch, "tokens", SLICE_TERMS):
+                coded = word_codes(some.column("tokens"))
+                for n in sizes:
+                    rows, grams, counts, texts = counts_in_lists(*coded, n, wanted=wanted)
+                    ids = [c.take(pa.array(rows)) for c in some.columns[:-1]]
+                    yield pa.RecordBatch.from_arrays([*ids, texts.take(pa.array(grams)), pa.array(counts)], names)
+
+    return lists.mapInArrow(run, T.StructType(fields))
 
 
 def vocabulary_union(*vocabularies: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsfeat.functions.tokens import STOP_WORDS, count_terms, let, ngrams
-from newsfeat.operators.corpus import dense_ids, ngram_table, token_table, tokens_of, with_text
+from newsfeat.functions.tokens import STOP_WORDS, let
+from newsfeat.operators.corpus import dense_ids, listed_counts, ngram_table, term_sieve, token_lists, token_table
 from newsfeat.operators.joins import first_match, fits, lookup_join
 from newsfeat.session import scratch_path, stored
 
@@ -50,14 +50,17 @@ def tfidf_from_text(docs: DataFrame, id_cols: list[str], vocabulary: DataFrame,
 
 def combined_weights(docs: DataFrame, id_cols: list[str], tokens: DataFrame, n_tokens: int | Column, bi_grams: DataFrame,
                      n_bi_grams: int | Column, text: str = "body", exact: bool = False, stem: bool = True,
-                     stop_words: list[str] = STOP_WORDS, max_rows: int | None = None) -> DataFrame:
-    """Weights of tokens and bi-grams of the raw text, tokenised once; a bi-gram's point tells it from a token."""
-    known = with_text(docs, text).select(*id_cols, tokens_of(F.col(text), stem, stop_words).alias("tokens"))
-    counts = known.select(*id_cols, F.inline(F.concat(
-        count_terms(F.col("tokens")), count_terms(ngrams(F.col("tokens"), 2)))))
+                     stop_words: list[str] = STOP_WORDS, max_rows: int | None = None,
+                     lists: DataFrame | None = None) -> DataFrame:
+    """Weights of tokens and bi-grams of the raw text, tokenised once; a bi-gram's point tells it from a token.
+
+    `lists` are the stored `token_lists` of `docs`, where the caller has them.
+    """
+    lists = token_lists(docs, id_cols, text, stem, stop_words) if lists is None else lists
     # n goes into the projection and not into the looked-up table, which is measured
     both = tokens.select("term", "df", F.lit(False).alias("gram")).unionByName(
         bi_grams.select("term", "df", F.lit(True).alias("gram")))
+    counts = listed_counts(lists, id_cols, (1, 2), term_sieve(both))
     joined = lookup_join(counts, both, "term", max_rows=max_rows)
     weight = lambda n: tfidf_weight(F.col("tf"), F.col("df"), n, exact)
     return joined.select(*id_cols, "term", F.when(F.col("gram"), weight(n_bi_grams)).otherwise(weight(n_tokens)).alias("tfidf"))
