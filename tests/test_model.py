@@ -44,6 +44,31 @@ def test_neighbours_match_brute_force(spark, pivots, block_rows):
     assert votes == {t: y for t, (_, y) in want.items()}
 
 
+def test_many_blocks_are_joined_without_copies_of_vectors(spark, capsys):
+    """Copies of one vector, missing labels and ids that come twice; no exchange has a vector a visit."""
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(1500, 8)).astype(np.float32)
+    vectors[::9] = vectors[0]
+    ids = np.arange(1500) % 1400
+    label = [None if i % 7 == 0 else int(i % 4) for i in ids]
+    rows = [(int(i), [float(x) for x in v], y) for i, v, y in zip(ids, vectors, label)]
+    train = spark.createDataFrame(rows, "train_id bigint, vector array<float>, label int")
+    test = train.select(F.col("train_id").alias("test_id"), "vector").where("test_id < 1000 AND test_id >= 100")
+    found = neighbours(train, test, 3, 16, 100)
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" in plan and "CoGroup" not in plan and "Generate" not in plan
+    units = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    similarity = np.round(units @ units.T, 12)
+    got = {}
+    for r in found.orderBy("test_id", "rank").collect():
+        got.setdefault(r["test_id"], []).append((round(r["similarity"], 9), r["train_id"], r["label"]))
+    assert len(got) == 900
+    for i, some in got.items():
+        best = np.lexsort((ids, -similarity[i]))[:3]
+        assert some == [(round(similarity[i][j], 9), ids[j], label[j]) for j in best]
+
+
 def test_fewer_train_rows_than_k(spark):
     train = spark.createDataFrame([(1, [1.0, 0.0], 5)], "train_id bigint, vector array<double>, label int")
     test = spark.createDataFrame([(7, [0.0, 1.0])], "test_id bigint, vector array<double>")
