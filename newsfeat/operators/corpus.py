@@ -8,6 +8,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -358,13 +359,96 @@ def token_dictionary(docs: DataFrame, text: str = "body", stem: bool = True) ->
     return dense_ids(totals, "t")
 
 
+def packed_lists(lists: DataFrame, id_cols: list[str], documents: int | None = None, most_terms: int | None = None) -> DataFrame:
+    """part, ids, lengths, codes, words: runs of documents with their `tokens` as places among the distinct words of the run.
+
+    Store it where several steps read it. `ids` are the id columns of all documents, `lengths` and `codes` are numbers of 4 bytes.
+    """
+    documents, most_terms = documents or PART_DOCUMENTS, most_terms or PART_TERMS
+    ship_package(lists.sparkSession)
+    lists = lists.select(*id_cols, "tokens")
+    ids_type = T.ArrayType(T.StructType(lists.schema.fields[:-1]))
+    schema = T.StructType([T.StructField("part", T.LongType()), T.StructField("ids", ids_type), T.StructField("lengths", T.BinaryType()),
+                           T.StructField("codes", T.BinaryType()), T.StructField("words", T.ArrayType(T.StringType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, size, part = [], 0, 0, TaskContext.get().partitionId() << 33
+
+        def row() -> pa.RecordBatch:
+            some = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            tokens = some.column(len(id_cols))
+            _, codes, words = word_codes(tokens)
+            lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+            ids = pa.StructArray.from_arrays(some.columns[:-1], names=id_cols)
+            lists_of = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int64()), lists_of(ids), *(pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (lengths, codes)),
+                 lists_of(words.cast(pa.string()))], ["part", "ids", "lengths", "codes", "words"])
+
+        for batch in batches:
+            while len(batch):
+                some = batch.slice(0, len(cut(batch.column(len(id_cols)), documents - rows, most_terms - size)))
+                batch = batch.slice(len(some))
+                held.append(some)
+                rows, size = rows + len(some), size + (pc.sum(pc.list_value_length(some.column(len(id_cols)))).as_py() or 0)
+                if rows >= documents or size >= most_terms:
+                    yield row()
+                    held, rows, size, part = [], 0, 0, part + 1
+        if held:
+            yield row()
+
+    return lists.mapInArrow(run, schema)
+
+
+def encoded_counts(packed: DataFrame, dictionary: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """source_id, g1, g2 (ids), c, df of stored `packed_lists`: the words of each part get their ids, bi-grams are counted as numbers."""
+    words = packed.select("part", F.posexplode("words").alias("pos", "t"))
+    found = lookup_join(words, dictionary.select("t", "i"), "t", max_rows=max_rows, derived=True, sieve=False)
+    numbers = found.groupBy("part").agg(F.collect_list(F.struct("pos", "i")).alias("numbers"))
+    source = packed.schema["ids"].dataType.elementType["source_id"]
+    schema = T.StructType([source, *(T.StructField(c, T.LongType()) for c in ("g1", "g2", "c", "df"))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(len(batch)):
+                sources = batch.column(0)[at].values.dictionary_encode(null_encoding="encode")
+                lengths, codes = (np.frombuffer(batch.column(k)[at].as_py(), np.int32).astype(np.int64) for k in (1, 2))
+                numbers = batch.column(3)[at].values
+                pos, i = (numbers.field(c).to_numpy(zero_copy_only=False) for c in ("pos", "i"))
+                most = int(codes.max(initial=0)) + 1
+                known, ids = np.zeros(most, bool), np.zeros(most, np.int64)
+                known[pos], ids[pos] = True, i
+                row = np.repeat(np.arange(len(lengths)), lengths)
+                first = np.flatnonzero((row[1:] == row[:-1]) & known[codes[1:]] & known[codes[:-1]])
+                grams, gram = np.unique(codes[first] * most + codes[first + 1], return_inverse=True)
+                base = max(1, len(grams))
+                keys, many = np.unique(row[first] * base + gram, return_counts=True)  # of each document
+                sums, of = np.unique(sources.indices.to_numpy(zero_copy_only=False)[keys // base] * base + keys % base, return_inverse=True)
+                c, df = np.bincount(of, many, len(sums)).astype(np.int64), np.bincount(of, minlength=len(sums))
+                for k in range(0, len(sums), SLICE_TERMS):
+                    some = slice(k, k + SLICE_TERMS)
+                    g = grams[sums[some] % base]
+                    yield pa.RecordBatch.from_arrays(
+                        [sources.dictionary.take(pa.array(sums[some] // base)), pa.array(ids[g // most]), pa.array(ids[g % most]),
+                         pa.array(c[some]), pa.array(df[some])], ["source_id", "g1", "g2", "c", "df"])
+
+    parts = packed.select("part", F.col("ids.source_id").alias("sources"), "lengths", "codes").join(numbers, "part")
+    counts = parts.select("sources", "lengths", "codes", "numbers").mapInArrow(run, schema)
+    return counts.groupBy("source_id", "g1", "g2").agg(F.sum("c").alias("c"), F.sum("df").alias("df"))
+
+
 def extract_grams(docs: DataFrame, dictionary: DataFrame, text: str = "body", stem: bool = True,
-                  max_rows: int | None = None, stop_words: list[str] = STOP_WORDS) -> DataFrame:
+                  max_rows: int | None = None, stop_words: list[str] = STOP_WORDS,
+                  packed: DataFrame | None = None) -> DataFrame:
     """source_id, g1, g2 (ids), c, df: occurrences and document frequency of bi-grams.
 
     One pass and one shuffle give both. Counting runs on tokens and the far smaller
-    result is encoded, which gives the same ids as encoding every occurrence first.
+    result is encoded, which gives the same ids as encoding every occurrence first. With the stored `packed_lists` of
+    `docs`, where the caller has them and the dictionary has each id and token once, the words of each part are encoded
+    before, so the counts are not joined with the dictionary.
     """
+    if packed is not None:
+        return encoded_counts(packed, dictionary, max_rows)
     grams = bi_gram_table(docs, ["source_id"], text, stem, stop_words)
     counts = grams.groupBy("source_id", "g1", "g2").agg(F.sum("c").alias("c"), F.count("*").alias("df"))
     return encode(counts, dictionary, max_rows)

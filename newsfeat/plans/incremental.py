@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsfeat.functions.tokens import STOP_WORDS
-from newsfeat.operators.corpus import dense_ids, extract_grams, token_table
+from newsfeat.operators.corpus import dense_ids, extract_grams, packed_lists, tokens_of
 from newsfeat.operators.joins import first_match, lookup_join
 from newsfeat.session import stored
 from newsfeat.sources.readers import path_exists
@@ -52,16 +52,21 @@ def add_batch(spark: SparkSession, folder: str, docs: DataFrame, stem: bool = Tr
     schema = {name: text.format(**kinds) for name, text in _TABLES.items()}
     seen, known = (_read(spark, done, name, schema[name]) for name in ("seen", "dictionary"))
     named = docs.select(*IDS, "body").where("source_id IS NOT NULL AND doc_id IS NOT NULL")
-    fresh = first_match(lookup_join(named, seen, IDS, "left_anti", max_rows=max_rows), IDS, F.struct(F.xxhash64("body"), "body"))
-    fresh = stored(fresh.unionByName(docs.select(*IDS, "body").where("source_id IS NULL OR doc_id IS NULL")), "fresh")
+    # few ids come twice: only their texts are moved to be compared
+    often = named.groupBy(*IDS).agg(F.count("*").alias("n")).where("n > 1").select(*IDS)
+    often = stored(lookup_join(often, seen, IDS, "left_anti", max_rows=max_rows), "repeated")
+    once = lookup_join(named, seen.unionByName(often), IDS, "left_anti", max_rows=max_rows)
+    again = first_match(lookup_join(named, often, IDS, "left_semi", max_rows=max_rows), IDS, F.struct(F.xxhash64("body"), "body"))
+    fresh = once.unionByName(again).unionByName(docs.select(*IDS, "body").where("source_id IS NULL OR doc_id IS NULL"))
+    tokens = F.when(F.length("body") > 0, tokens_of(F.col("body"), stem, stop_words))
+    fresh = stored(packed_lists(fresh.select(*IDS, tokens.alias("tokens")), IDS), "fresh")
 
     path = f"{folder}/batch-{len(done)}"
-    terms = token_table(fresh, [], stem=stem, stop_words=stop_words).select(F.col("term").alias("t"))
-    extend_ids(known, terms).write.mode("overwrite").parquet(f"{path}/dictionary")
+    extend_ids(known, fresh.select(F.explode("words").alias("t"))).write.mode("overwrite").parquet(f"{path}/dictionary")
     every = _read(spark, [*done, path], "dictionary", schema["dictionary"])
-    extract_grams(fresh, every, stem=stem, max_rows=max_rows, stop_words=stop_words).write.mode("overwrite").parquet(f"{path}/counts")
-    fresh.select(*IDS).where("source_id IS NOT NULL AND doc_id IS NOT NULL").write.mode("overwrite").parquet(f"{path}/seen")
-    count = fresh.count()
+    extract_grams(docs, every, stem=stem, max_rows=max_rows, stop_words=stop_words, packed=fresh).write.mode("overwrite").parquet(f"{path}/counts")
+    fresh.select(F.inline("ids")).where("source_id IS NOT NULL AND doc_id IS NOT NULL").write.mode("overwrite").parquet(f"{path}/seen")
+    count = fresh.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
     spark.createDataFrame([(count,)], "documents bigint").coalesce(1).write.mode("overwrite").parquet(f"{path}/done")
     return count
 

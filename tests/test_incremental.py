@@ -62,3 +62,18 @@ def test_new_terms_get_the_next_ids(spark):
     terms = spark.createDataFrame([("z",), ("m",), ("a",), ("z",)], "t string")
     assert sorted(map(tuple, I.extend_ids(known, terms).collect())) == [(3, "a"), (4, "z")]
     assert C.dense_ids(terms.distinct(), "t").count() == 3
+
+
+def test_packed_lists_give_the_same_counts(spark):
+    """In parts of any size, with words that the dictionary has not, a missing source and documents without words."""
+    rows = [("s", f"rates rise market{i % 3} again rates rise" + " word" * (i % 4)) for i in range(30)]
+    rows += [(None, "rates rise unknown rise rates"), ("t", "alone"), ("t", ""), ("t", None), ("t", "rise rates")]
+    docs = spark.createDataFrame(rows, "source_id string, body string").coalesce(2)
+    terms = ["rates", "rise", "market0", "market1", "market2", "word", "alone"]
+    dictionary = spark.createDataFrame([(10 * i, t) for i, t in enumerate(terms)], "i bigint, t string")
+    lists = docs.select("source_id", C.tokens_of(C.F.col("body"), False).alias("tokens"))
+    rows_of = lambda df: sorted(map(str, df.select("source_id", "g1", "g2", "c", "df").collect()))
+    want = rows_of(C.extract_grams(docs, dictionary, stem=False))
+    for documents, most, max_rows in ((None, None, None), (4, None, 0), (None, 1, None)):
+        packed = C.packed_lists(lists, ["source_id"], documents, most)
+        assert rows_of(C.extract_grams(docs, dictionary, max_rows=max_rows, packed=packed)) == want and want
